@@ -11,16 +11,17 @@ from pyspark.sql import functions as F
 from strata.functions.text import base_name
 from strata.operators.storage import reconcile
 from strata.sinks import layer_path, write_layer
-from strata.sources.files import first_available, require_inputs
-from strata.sources.lines import POSITION, read_lines
+from strata.sources.files import first_available, first_place, require_inputs
+from strata.sources.lines import read_lines
 
 LINES = "lines"
 FILES = "files"
 
+# Per dataset the places its files may be in, each a root and a file pattern.
+Inputs = Mapping[str, Sequence[tuple[str, str]]]
 
-def list_inputs(
-    spark: SparkSession, inputs: Mapping[str, Sequence[tuple[str, str]]]
-) -> DataFrame:
+
+def list_inputs(spark: SparkSession, inputs: Inputs) -> DataFrame:
     """Listing of all datasets; each takes the first of its ``(root, pattern)`` with files."""
     listings = [first_available(spark, name, places) for name, places in inputs.items()]
     return reduce(DataFrame.unionByName, listings)
@@ -28,7 +29,7 @@ def list_inputs(
 
 def land_raw(
     spark: SparkSession,
-    inputs: Mapping[str, Sequence[tuple[str, str]]],
+    inputs: Inputs,
     raw_root: str,
     *,
     text_datasets: Sequence[str],
@@ -41,34 +42,20 @@ def land_raw(
     a large dataset gathers in one task. With ``prefix_length`` the lines are also partitioned by
     the first characters of the file name, which lets later scans of few stations skip the rest.
     """
-    files = list_inputs(spark, inputs)
+    chosen = {name: [first_place(spark, name, places)] for name, places in inputs.items()}
+    files = list_inputs(spark, chosen)
     require_inputs(files, required)
-    landed = None
+    partitions = ["dataset", "prefix"] if prefix_length else ["dataset"]
+    texts = []
     for name in text_datasets:
-        root, pattern = _place_with_files(files, inputs[name], name)
+        [(root, pattern)] = chosen[name]
         lines = read_lines(spark, root, pattern=pattern, position=True)
-        lines = lines.withColumn("dataset", F.lit(name))
-        landed = lines if landed is None else landed.unionByName(lines)
-    if landed is not None:
-        partitions = ["dataset"]
-        if prefix_length:
-            prefix = F.substring("file_name", 1, prefix_length)
-            landed = landed.withColumn("prefix", prefix)
-            partitions.append("prefix")
+        labels = {"dataset": F.lit(name), "prefix": F.substring("file_name", 1, prefix_length)}
+        texts.append(lines.withColumns({column: labels[column] for column in partitions}))
+    if texts:
+        landed = reduce(DataFrame.unionByName, texts)
         write_layer(landed, raw_root, LINES, partition_by=partitions)
-    stored = write_layer(files, raw_root, FILES)
-    return spark.read.parquet(stored)
-
-
-def _place_with_files(
-    files: DataFrame, places: Sequence[tuple[str, str]], name: str
-) -> tuple[str, str]:
-    """The place ``list_inputs`` took its files from, told by one listed path."""
-    path = files.where(F.col("dataset") == name).select("path").first()["path"]
-    for root, pattern in places:
-        if root.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/" in path + "/":
-            return root, pattern
-    raise FileNotFoundError(f"no files for {name}")
+    return spark.read.parquet(write_layer(files, raw_root, FILES))
 
 
 def landed_lines(spark: SparkSession, raw_root: str, dataset: str) -> DataFrame:

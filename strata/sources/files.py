@@ -49,19 +49,26 @@ def manifest_if_present(spark: SparkSession, root: str, dataset: str, **options)
         return spark.createDataFrame([], schemas.MANIFEST)
 
 
-def first_available(
+def first_place(
     spark: SparkSession, dataset: str, candidates: Iterable[tuple[str, str]]
-) -> DataFrame:
-    """Listing of the first ``(root, pattern)`` that has files, for example loose before packed."""
+) -> tuple[str, str]:
+    """The first ``(root, pattern)`` that has files, for example loose files before packed ones."""
     tried = []
     for root, pattern in candidates:
-        files = manifest_if_present(spark, root, dataset, pattern=pattern)
-        if not files.isEmpty():
-            return files
+        if not manifest_if_present(spark, root, dataset, pattern=pattern).isEmpty():
+            return root, pattern
         tried.append(f"{root}/{pattern}")
     raise FileNotFoundError(f"no files for {dataset} in {', '.join(tried)}")
 
 
+def first_available(
+    spark: SparkSession, dataset: str, candidates: Iterable[tuple[str, str]]
+) -> DataFrame:
+    """Listing of the files in the first place that has any."""
+    root, pattern = first_place(spark, dataset, candidates)
+    return manifest(spark, root, dataset, pattern=pattern)
+
+
 def missing_inputs(files: DataFrame, expected: DataFrame, key: str = "relative_path") -> DataFrame:
     """Expected names that have no file."""
     return expected.join(files.select(key).distinct(), key, "left_anti")
