@@ -34,6 +34,12 @@ def between_positions(column: Column | str, start: int, end: int) -> Column:
     return strip(F.substring(as_column(column), start + 1, end - start))
 
 
+def character_or_null(column: Column | str, index: int) -> Column:
+    """The character at ``index`` (0-based); NULL if it is white space or beyond the end."""
+    character = F.substring(as_column(column), index + 1, 1)
+    return F.when(~character.isin("", *WHITESPACE), character)
+
+
 def contains_any_case(column: Column | str, part: str) -> Column:
     return F.contains(F.lower(as_column(column)), F.lit(part))
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from strata.functions.text import as_column, strip
 
-# Number spellings Java accepts but a data file does not mean: `1d`, `2.5f`, hexadecimal floats.
-_JAVA_ONLY_NUMBER = r"[0-9.][dDfF]$|[xX]"
+# What counts as a number in text. A cast of other text costs an exception per value, and Java
+# would also take spellings such as `1d`, so text is matched before it is cast.
+NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+WHOLE_NUMBER_TEXT = r"^\s*[+-]?\d+\s*$"
 
 
 def nan_to_null(column: Column | str) -> Column:
@@ -17,15 +19,15 @@ def nan_to_null(column: Column | str) -> Column:
 
 
 def number(column: Column | str) -> Column:
-    """Text to double; text that is no number, and NaN, become NULL."""
-    text = strip(column)
-    parsed = F.when(~text.rlike(_JAVA_ONLY_NUMBER), text.try_cast("double"))
-    return nan_to_null(parsed)
+    """Text to double; text that is no number, NaN included, becomes NULL."""
+    text = as_column(column)
+    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
 
 
 def whole_number(column: Column | str) -> Column:
     """Text to int; anything that is not a whole number becomes NULL."""
-    return strip(column).try_cast("int")
+    text = as_column(column)
+    return F.when(text.rlike(WHOLE_NUMBER_TEXT), text.try_cast("int"))
 
 
 def without_sentinel(column: Column | str, *sentinels: str) -> Column:

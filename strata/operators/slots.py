@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.dates import date_from_parts, days_in_month
-from strata.functions.text import between_positions, blank_to_null, strip
+from strata.functions.text import between_positions, character_or_null, is_blank
 from strata.functions.values import required, scaled, whole_number
 from strata.sources.fixed_width import ELEMENTS
 
@@ -19,6 +19,9 @@ SLOTS = 31
 MISSING_VALUE = -9999
 VALUE_DIVISOR = 10.0
 
+# Days that are cut from a line together.
+BLOCK_DAYS = 8
+
 _HEADER = {
     "station_id": (0, 11),
     "year_text": (11, 15),
@@ -37,17 +40,37 @@ def daily_headers(lines: DataFrame, elements: Sequence[str] | None = ELEMENTS) -
     return headers.withColumn("first_day", F.when(F.col("year_text") != "0000", first_day))
 
 
-def _slot_part(day: Column, offset: int, width: int) -> Column:
-    start = (day - 1) * SLOT_WIDTH + (HEADER_WIDTH + offset + 1)
-    return strip(F.col("value").substr(start, F.lit(width)))
+def explode_slots(
+    headers: DataFrame, columns: Sequence[str], *, days: Column, skip_blank: bool = True
+) -> DataFrame:
+    """One row per day up to ``days`` with ``columns`` and the eight characters of its slot.
+
+    A character of a string is found by walking from its start, so each line is first cut into
+    blocks of eight days and then each short block into slots. Blank blocks go at once.
+    """
+    first_days = F.sequence(F.lit(1), F.lit(SLOTS), F.lit(BLOCK_DAYS))
+    start = (F.col("block_day") - 1) * SLOT_WIDTH + HEADER_WIDTH + 1
+    blocks = headers.select("value", *columns, F.explode(first_days).alias("block_day")).select(
+        *columns, "block_day", F.col("value").substr(start, F.lit(BLOCK_DAYS * SLOT_WIDTH)).alias("block")
+    )
+    if skip_blank:
+        blocks = blocks.where(~is_blank("block"))
+    offsets = F.sequence(F.lit(0), F.lit(BLOCK_DAYS - 1))
+    slot = F.col("block").substr(F.col("offset") * SLOT_WIDTH + 1, F.lit(SLOT_WIDTH))
+    slots = blocks.select(*columns, "block_day", "block", F.explode(offsets).alias("offset"))
+    slots = slots.select(
+        *columns, (F.col("block_day") + F.col("offset")).alias("day"), slot.alias("slot")
+    )
+    return slots.where(F.col("day") <= days)
 
 
-def _slot_columns(day: Column) -> dict[str, Column]:
+def slot_fields() -> dict[str, Column]:
+    """The parts of a slot: the value's text as it stands, and three flags, blank as NULL."""
     return {
-        "value_text": _slot_part(day, 0, 5),
-        "mflag": blank_to_null(_slot_part(day, 5, 1)),
-        "qflag": blank_to_null(_slot_part(day, 6, 1)),
-        "sflag": blank_to_null(_slot_part(day, 7, 1)),
+        "value_text": F.substring("slot", 1, 5),
+        "mflag": character_or_null("slot", 5),
+        "qflag": character_or_null("slot", 6),
+        "sflag": character_or_null("slot", 7),
     }
 
 
@@ -62,7 +85,7 @@ def decode_daily_lines(
 
     Dropped are short lines, other elements, blank and missing slots, slots with a quality flag
     and days the month does not have. The month's first day is parsed once per line and only
-    days that exist are produced. Malformed numbers are dropped too; with ``strict`` they fail
+    days that exist are looked at. Malformed numbers are dropped too; with ``strict`` they fail
     the job.
     """
     headers = daily_headers(lines, elements)
@@ -71,16 +94,16 @@ def decode_daily_lines(
         checked = required(F.col("first_day"), bad_header, "malformed year or month")
         headers = headers.withColumn("first_day", checked)
     existing = headers.where(F.col("first_day").isNotNull())
-    days = F.sequence(F.lit(1), days_in_month(F.col("first_day")))
-    slots = existing.select(
-        "station_id", "element", "first_day", "value", *keep, F.explode(days).alias("day")
-    )
-    slots = slots.withColumns(_slot_columns(F.col("day"))).where(F.col("value_text") != "")
+    columns = ["station_id", "element", "first_day", *keep]
+    slots = explode_slots(existing, columns, days=days_in_month(F.col("first_day")))
+    # Most slots are blank, so the cheapest test for that comes first.
+    slots = slots.withColumns(slot_fields()).where(F.trim("value_text") != "")
     tenths = whole_number("value_text")
     if strict:
-        tenths = required(tenths, tenths.isNull(), "malformed slot value")
-    slots = slots.withColumn("tenths", tenths)
-    usable = slots.where((F.col("tenths") != MISSING_VALUE) & F.col("qflag").isNull())
+        malformed = tenths.isNull() & ~is_blank("value_text")
+        tenths = required(tenths, malformed, "malformed slot value")
+    known = slots.withColumn("tenths", tenths).where(F.col("tenths") != MISSING_VALUE)
+    usable = known.where(F.col("qflag").isNull())
     return usable.select(
         "station_id",
         F.date_add("first_day", F.col("day") - 1).alias("date"),
@@ -93,55 +116,37 @@ def decode_daily_lines(
     )
 
 
+# What can become of a slot, in the order in which reasons are looked for.
+OUTCOMES = ("bad_month", "blank", "missing", "flagged", "impossible_day", "malformed", "kept")
+
+
 def count_slots(lines: DataFrame, elements: Sequence[str] = ELEMENTS) -> DataFrame:
-    """One row of counts: what ``decode_daily_lines`` keeps, and what it drops and why.
+    """One row of counts: lines and slots that ``decode_daily_lines`` keeps or drops, and why.
 
-    A slot is counted under the first reason that applies: malformed month, blank, missing,
-    flagged, impossible day, malformed value.
+    A slot is counted once, under the first of ``OUTCOMES`` that applies.
     """
-    all_lines = lines.withColumn("short", F.length("value") < HEADER_WIDTH)
-    element = between_positions("value", *_HEADER["element"])
-    wanted = ~F.col("short") & element.isin(list(elements))
-    year, month = (between_positions("value", *_HEADER[n]) for n in ("year_text", "month_text"))
-    first_day = F.when(year != "0000", date_from_parts(year, month))
-    days = F.when(wanted, F.sequence(F.lit(1), F.lit(SLOTS)))
-    slots = all_lines.select(
-        "value",
-        "short",
-        wanted.alias("wanted"),
-        first_day.alias("first_day"),
-        F.explode_outer(days).alias("day"),
-    ).withColumns(_slot_columns(F.col("day")))
+    headers = daily_headers(lines, elements)
+    slots = explode_slots(headers, ["first_day"], days=F.lit(SLOTS), skip_blank=False)
     tenths = whole_number("value_text")
-    reason = (
-        F.when(~F.col("wanted"), "line")
-        .when(F.col("first_day").isNull(), "bad_month")
-        .when(F.col("value_text") == "", "blank")
+    outcome = (
+        F.when(F.col("first_day").isNull(), "bad_month")
+        .when(is_blank("value_text"), "blank")
         .when(tenths == MISSING_VALUE, "missing")
         .when(F.col("qflag").isNotNull(), "flagged")
         .when(F.col("day") > days_in_month(F.col("first_day")), "impossible_day")
         .when(tenths.isNull(), "malformed")
         .otherwise("kept")
     )
-    per_line = F.coalesce(F.col("day"), F.lit(1)) == 1
-
-    def slots_with(name: str) -> Column:
-        return F.count_if(F.col("reason") == name).alias(f"{name}_slots")
-
-    return slots.withColumn("reason", reason).agg(
-        F.count_if(per_line).alias("lines"),
-        F.count_if(F.col("short")).alias("short_lines"),
-        F.count_if(~F.col("short") & ~F.col("wanted")).alias("other_lines"),
-        *[
-            slots_with(name)
-            for name in (
-                "kept",
-                "blank",
-                "missing",
-                "flagged",
-                "impossible_day",
-                "bad_month",
-                "malformed",
-            )
-        ],
+    outcomes = slots.withColumns(slot_fields()).select(outcome.alias("outcome"))
+    counts = outcomes.agg(
+        *[F.count_if(F.col("outcome") == name).alias(f"{name}_slots") for name in OUTCOMES]
+    )
+    short = F.length("value") < HEADER_WIDTH
+    wanted = between_positions("value", *_HEADER["element"]).isin(list(elements))
+    line_counts = lines.agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(short).alias("short_lines"),
+        F.count_if(~short & ~wanted).alias("other_lines"),
     )
+    slot_counts = counts.select(F.struct(*counts.columns)).scalar()
+    return line_counts.withColumn("slots", slot_counts).select(*line_counts.columns, "slots.*")

@@ -105,7 +105,7 @@ def _size_sql(size: str) -> str:
 
 @query(f"""
     SELECT doc_id, {_size_sql('n_chars::DOUBLE')} AS size,
-           {_size_sql('(n_chars * n_chars * n_chars * n_chars)::DOUBLE')} AS large_size
+           {_size_sql('(n_chars::DOUBLE * n_chars * n_chars)')} AS large_size
     FROM documents
 """)
 def human_sizes(spark, sf_dir):
@@ -113,9 +113,7 @@ def human_sizes(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
         "doc_id",
         text.human_size(size).alias("size"),
-        text.human_size(F.col("n_chars") * F.col("n_chars") * F.col("n_chars") * F.col("n_chars")).alias(
-            "large_size"
-        ),
+        text.human_size(size * size * size).alias("large_size"),
     )
 
 
