@@ -62,6 +62,11 @@ def snake_name(name: object) -> str:
     return "_".join(re.findall("[0-9a-zA-Z]+", str(name))).lower() or "col"
 
 
+def plain_path(metadata_path: Column | str) -> Column:
+    """A path or name from file metadata, which is URL-encoded, as it stands in the file system."""
+    return F.url_decode(F.replace(as_column(metadata_path), F.lit("+"), F.lit("%2B")))
+
+
 def base_name(path: Column | str) -> Column:
     """Last part of a path."""
     return F.substring_index(as_column(path), "/", -1)

@@ -84,6 +84,18 @@ def select_stations(
     return last_row_per_key(known, "station_id").drop(*POSITION)
 
 
+def prune_lines(
+    lines: DataFrame, stations: DataFrame, prefix_length: int, prefix: str = "prefix"
+) -> DataFrame:
+    """Lines in folders named after the first characters of a station id, for ``stations`` only.
+
+    ``prefix`` is the folder column; Spark works out the wanted values first and lists and reads
+    only their folders.
+    """
+    wanted = stations.select(F.substring("station_id", 1, prefix_length).alias(prefix)).distinct()
+    return lines.join(small_side(wanted), prefix, "left_semi")
+
+
 def clean_daily(
     lines: DataFrame,
     stations: DataFrame,

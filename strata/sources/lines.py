@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.text import is_blank
+from strata.functions.text import is_blank, plain_path
 
 POSITION = ("file_path", "block_start", "row_id")
 
@@ -31,8 +31,8 @@ def read_lines(
         reader = reader.option("pathGlobFilter", pattern)
     columns = [
         F.col("value"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
+        plain_path("_metadata.file_path").alias("file_path"),
+        plain_path("_metadata.file_name").alias("file_name"),
     ]
     if position:
         columns += [

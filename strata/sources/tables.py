@@ -6,10 +6,10 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from strata import schemas
+from strata.functions.text import plain_path
 from strata.functions.values import nan_to_null
 
 
@@ -33,7 +33,7 @@ def read_first_parquet(spark: SparkSession, candidates: Iterable[str]) -> DataFr
 
 def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
     """Add the name of the file each row was read from."""
-    return df.withColumn(name, F.col("_metadata.file_name"))
+    return df.withColumn(name, plain_path("_metadata.file_name"))
 
 
 def nan_columns_to_null(df: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata.functions.text import between_positions
 from strata.operators.select import (
     Box,
     attach,
@@ -13,7 +14,7 @@ from strata.operators.select import (
     small_side,
 )
 from strata.operators.slots import count_slots, decode_daily_lines
-from strata.plans.cleaned import clean_daily, select_stations
+from strata.plans.cleaned import clean_daily, prune_lines, select_stations
 from strata.plans.flat import flat_daily as flat_daily_table
 from strata.session import shared_folder
 from strata.sources.files import preferred_files
@@ -24,6 +25,7 @@ from workload.registry import query
 from workload.shapes import CUSTOMER_STATIONS, DAILY_SQL, SUPPLIER_STATIONS, station_sql, table
 
 MAX_SUPPLIERS = 30
+PREFIX_LENGTH = 9
 
 
 def _lines(spark, sf_dir, source, columns):
@@ -150,21 +152,25 @@ def station_daily(spark, sf_dir):
 
 @query(STATION_DAILY_SQL)
 def station_daily_from_files(spark, sf_dir):
-    """The same from text files. Lines are stored in one folder per station, so the selected
-    stations prune the folders that are read."""
+    """The same from text files. Lines lie in one folder per group of stations, and only the
+    folders of selected stations are read."""
     root = shared_folder(spark, "stations")
     suppliers = table(spark, sf_dir, "supplier")
     station_lines = _lines(spark, sf_dir, "supplier", SUPPLIER_STATIONS)
     station_lines.orderBy("row_id").select("value").write.text(f"{root}/stations")
     inventory = shapes.inventory_lines(suppliers, "s_suppkey", "s_acctbal", "SU")
     inventory.write.text(f"{root}/inventory")
-    shapes.daily_lines(spark, sf_dir).write.partitionBy("file_stem").text(f"{root}/daily")
+    prefix = F.substring("file_stem", 1, PREFIX_LENGTH).alias("prefix")
+    daily = shapes.daily_lines(spark, sf_dir).select("value", prefix)
+    daily.write.partitionBy("prefix").text(f"{root}/daily")
     stations = select_stations(
         read_lines(spark, f"{root}/stations", position=True),
         read_lines(spark, f"{root}/inventory"),
         max_stations=MAX_SUPPLIERS,
     )
-    lines = spark.read.schema("value string, file_stem string").text(f"{root}/daily")
+    lines = spark.read.schema("value string, prefix string").text(f"{root}/daily")
+    lines = prune_lines(lines, stations, PREFIX_LENGTH)
+    lines = lines.withColumn("file_stem", between_positions("value", 0, 11))
     return clean_daily(lines, small_side(stations, proven_rows=MAX_SUPPLIERS))
 
 
