@@ -16,8 +16,10 @@ from strata.operators.quality import (
     wide_quality,
 )
 from strata.operators.slots import decode_daily_lines
-from strata.plans.cleaned import clean_anomalies, clean_carbon, clean_grid
+from strata.plans.cleaned import DAILY_TABLE, clean_anomalies, clean_carbon, clean_grid
 from strata.plans.evaluation import quality_scores
+from strata.session import shared_folder
+from strata.sinks import write_layer
 from strata.sources.delimited import missing_marks_to_null
 from workload import shapes
 from workload.registry import query
@@ -136,7 +138,10 @@ def scores(spark, sf_dir):
             "source_file": F.lit("cells.nc"),
         }
     )
-    daily = decode_daily_lines(shapes.daily_lines(spark, sf_dir))
+    # Stored once, as the cleaned layer would, because both layers' scores read it.
+    decoded = decode_daily_lines(shapes.daily_lines(spark, sf_dir))
+    root = shared_folder(spark, "scores")
+    daily = spark.read.parquet(write_layer(decoded, root, DAILY_TABLE))
     raw = {
         "nasa": missing_marks_to_null(wide, MONTH_NAMES),
         "gcb": sheet,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.dates import MONTH_NAMES
-from strata.operators.slots import MISSING_VALUE, SLOTS
+from strata.operators.slots import MISSING_VALUE, SLOT_WIDTH
 from strata.sources.delimited import MISSING_MARK
 
 
@@ -242,31 +242,29 @@ def daily_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     tenths = ((F.col("quantity") - 20) * 10).cast("int")
+    value = F.when(F.col("discount") >= 0.1, F.lit(MISSING_VALUE)).otherwise(tenths)
     slot = F.concat(
-        F.format_string(
-            "%5d", F.when(F.col("discount") >= 0.1, F.lit(MISSING_VALUE)).otherwise(tenths)
-        ),
+        F.lpad(value.cast("string"), 5, " "),
         F.when(F.col("least_tax") == 0, "T").otherwise(" "),
         F.when(F.col("tax") >= 0.08, "X").otherwise(" "),
         F.lit("S"),
     )
-    month = F.date_format("d", "yyyyMM")
     # A month has at most 31 days, so the list below is bounded.
-    months = days.groupBy("station_id", "element", month.alias("month")).agg(
-        F.map_from_entries(
+    months = days.groupBy("station_id", "element", F.trunc("d", "MM").alias("month")).agg(
+        F.array_sort(
             F.collect_list(F.struct(F.dayofmonth("d").alias("day"), slot.alias("slot")))
         ).alias("slots")
     )
-    impossible = F.when(F.endswith(F.col("month"), F.lit("02")), F.lit("  100   "))
-    text = F.transform(
-        F.sequence(F.lit(1), F.lit(SLOTS)),
-        lambda day: F.coalesce(
-            F.try_element_at(F.col("slots"), day), F.when(day == 30, impossible), F.lit(" " * 8)
-        ),
-    )
-    line = F.concat("station_id", "month", "element", F.array_join(text, ""))
+
+    def at_day(text: Column, day: Column, slot: Column) -> Column:
+        return F.concat(F.rpad(text, (day - 1) * SLOT_WIDTH, " "), slot)
+
+    text = F.aggregate("slots", F.lit(""), lambda text, s: at_day(text, s["day"], s["slot"]))
+    february = F.month("month") == 2
+    text = F.when(february, at_day(text, F.lit(30), F.lit("  100   "))).otherwise(text)
+    header = F.concat("station_id", F.date_format("month", "yyyyMM"), "element")
     full = months.select(
-        F.rtrim(line).alias("value"), F.col("station_id").alias("file_stem")
+        F.rtrim(F.concat(header, text)).alias("value"), F.col("station_id").alias("file_stem")
     )
     ids = table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("SU"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0")).alias("value")
