@@ -42,13 +42,13 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
 
 
 def keep_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Rows whose key occurs in ``known``."""
-    return df.join(known.select(key), key, "left_semi")
+    """Rows whose key occurs in ``known``, whose keys are made distinct before they are shuffled."""
+    return df.join(known.select(key).distinct(), key, "left_semi")
 
 
 def keep_missing(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows whose key does not occur in ``known``."""
-    return df.join(known.select(key), key, "left_anti")
+    return df.join(known.select(key).distinct(), key, "left_anti")
 
 
 def first_rows(df: DataFrame, count: int, order: Sequence[str] = POSITION) -> DataFrame:
@@ -67,8 +67,8 @@ def small_side(df: DataFrame, *, proven_rows: int | None = None) -> DataFrame:
     """``df`` marked for broadcast if its row count allows it, else as it is.
 
     ``proven_rows`` is a bound the caller knows, such as a ``limit``; without it the rows are
-    counted. A larger side is shuffled with the other one, where adaptive execution splits the
-    partition of a hot key.
+    counted, so a side that is costly to compute should be a stored table. A larger side is
+    shuffled with the other one, where adaptive execution splits the partition of a hot key.
     """
     rows = df.count() if proven_rows is None else proven_rows
     return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df

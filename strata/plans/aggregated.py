@@ -34,7 +34,11 @@ CARBON_PREFERENCES = ("fossil", "co2", "emission", "total")
 
 
 def temperature_trend(anomalies: DataFrame, grid: DataFrame, *, ordered: bool = True) -> DataFrame:
-    """Monthly anomalies and monthly grid means as one labelled series per source."""
+    """Monthly anomalies and monthly grid means as one labelled series per source.
+
+    Anomalies are taken row by row. In the sorted result, rows with equal keys stay in the order
+    of the anomaly table, so that copies of one row can lie in several sort partitions.
+    """
     monthly = anomalies.where(F.col("anomaly").isNotNull()).select(
         F.col("date").cast("date").alias("date"),
         F.lit(ANOMALY_SOURCE).alias("source"),
@@ -49,9 +53,14 @@ def temperature_trend(anomalies: DataFrame, grid: DataFrame, *, ordered: bool =
         F.col("units").alias("unit"),
         "value",
     )
-    trend = schemas.conform(union_by_name(monthly, gridded), schemas.TREND)
-    # The value splits months that hold very many anomalies over several sort partitions.
-    return in_order(trend, "date", "source", "variable", "value") if ordered else trend
+    if not ordered:
+        return schemas.conform(union_by_name(monthly, gridded), schemas.TREND)
+    numbered = union_by_name(
+        monthly.withColumn("row_id", F.monotonically_increasing_id()),
+        gridded.withColumn("row_id", F.lit(0).cast("long")),
+    )
+    sorted_rows = in_order(numbered, "date", "source", "variable", "row_id")
+    return schemas.conform(sorted_rows, schemas.TREND)
 
 
 def annual_carbon(carbon: DataFrame, *, ordered: bool = True) -> DataFrame:

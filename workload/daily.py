@@ -17,6 +17,7 @@ from strata.operators.slots import count_slots, decode_daily_lines
 from strata.plans.cleaned import clean_daily, prune_lines, select_stations
 from strata.plans.flat import flat_daily as flat_daily_table
 from strata.session import shared_folder
+from strata.sinks import write_layer
 from strata.sources.files import preferred_files
 from strata.sources.fixed_width import inventory_stations, read_stations
 from strata.sources.lines import POSITION, read_lines
@@ -212,7 +213,9 @@ def lookup_join(spark, sf_dir):
         F.lit(0).alias("block_start"),
         F.col("o_orderkey").alias("row_id"),
     )
-    attributes = last_row_per_key(rows, "customer").drop(*POSITION)
+    last = last_row_per_key(rows, "customer").drop(*POSITION)
+    root = shared_folder(spark, "lookup")
+    attributes = spark.read.parquet(write_layer(last, root, "attributes"))
     events = table(spark, sf_dir, "events").select("event_id", "user_id")
     return attach(events, small_side(attributes), "user_id", "customer")
 
