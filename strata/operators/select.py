@@ -106,14 +106,19 @@ def choose_match(
 ) -> DataFrame:
     """One row: the best-ranked value of a column, NULL if there is none.
 
-    Equal ranks go to the smallest ``position``, or without it to the smallest value. This is
-    one aggregate; its single row is used as ``choose_match(...).scalar()``.
+    Equal ranks go to the smallest ``position``, or without it to the smallest value. Rows are
+    first reduced to distinct values, within each task before the shuffle, and only those are
+    ranked. The single resulting row is used as ``choose_match(...).scalar()``.
     """
-    name = F.col(column)
-    tie = F.col(position) if position else name
-    best = F.min(F.struct(match_rank(name, preferences), tie.alias("tie"), name.alias("name")))
-    usable = df.where(name.isNotNull() & (name != ""))
-    return usable.agg(best.getField("name").alias(alias))
+    name = F.col("name")
+    named = df.select(F.col(column).alias("name"), F.col(position or column).alias("position"))
+    named = named.where(name.isNotNull() & (name != ""))
+    if position:
+        values = named.groupBy("name").agg(F.min("position").alias("tie"))
+    else:
+        values = named.select("name").distinct().withColumn("tie", name)
+    best = F.min(F.struct(match_rank(name, preferences), F.col("tie"), name))
+    return values.agg(best.getField("name").alias(alias))
 
 
 def target_value(chosen: DataFrame | str) -> Column:

@@ -40,7 +40,7 @@ CHOSEN = """
              coalesce(nullif(array_position(
                transform(:preferences, p -> contains(lower({column}), p)), true), 0), 1000000),
              {column})) AS target
-    FROM {table}
+    FROM (SELECT DISTINCT {column} FROM {table})
     WHERE {column} <> ''
 """
 

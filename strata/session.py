@@ -41,10 +41,11 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     The cluster names that folder. Only a local master may go without one and gets a temporary
     folder, because there driver and executors share a disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="strata-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_folder(spark)
     return f"{root.rstrip('/')}/strata/{label}-{uuid.uuid4().hex}"
+
+
+def _local_folder(spark: SparkSession) -> str:
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
+    return tempfile.mkdtemp(prefix="strata-")

@@ -162,7 +162,7 @@ def station_daily_from_files(spark, sf_dir):
     inventory = shapes.inventory_lines(suppliers, "s_suppkey", "s_acctbal", "SU")
     inventory.write.text(f"{root}/inventory")
     prefix = F.substring("file_stem", 1, PREFIX_LENGTH).alias("prefix")
-    daily = shapes.daily_lines(spark, sf_dir).select("value", prefix)
+    daily = shapes.encoded_daily_lines(spark, sf_dir).select("value", prefix)
     daily.write.partitionBy("prefix").text(f"{root}/daily")
     stations = select_stations(
         read_lines(spark, f"{root}/stations", position=True),

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from strata.functions.dates import MONTH_NAMES
 from strata.operators.slots import MISSING_VALUE, SLOT_WIDTH
+from strata.session import shared_folder
+from strata.sinks import write_layer
 from strata.sources.delimited import MISSING_MARK
 
 
@@ -220,9 +222,17 @@ DAILY_SQL = """
 
 
 def daily_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily lines as a stored table, as the raw layer holds them.
+
+    Decoding straight from the expressions below would evaluate them once per use of a line.
+    """
+    root = shared_folder(spark, "daily-lines")
+    return spark.read.parquet(write_layer(encoded_daily_lines(spark, sf_dir), root, "lines"))
+
+
+def encoded_daily_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One line per supplier, element and month, and one short line per supplier."""
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    station = F.concat(F.lit("SU"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0"))
     element = (
         F.when(flag == "A", "TMAX")
         .when(flag == "R", "TMIN")
@@ -231,9 +241,7 @@ def daily_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     days = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(
-            station.alias("station_id"), element.alias("element"), F.to_date("l_shipdate").alias("d")
-        )
+        .groupBy("l_suppkey", element.alias("element"), F.to_date("l_shipdate").alias("d"))
         .agg(
             F.max("l_quantity").alias("quantity"),
             F.max("l_discount").alias("discount"),
@@ -250,7 +258,7 @@ def daily_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("S"),
     )
     # A month has at most 31 days, so the list below is bounded.
-    months = days.groupBy("station_id", "element", F.trunc("d", "MM").alias("month")).agg(
+    months = days.groupBy("l_suppkey", "element", F.trunc("d", "MM").alias("month")).agg(
         F.array_sort(
             F.collect_list(F.struct(F.dayofmonth("d").alias("day"), slot.alias("slot")))
         ).alias("slots")
@@ -262,11 +270,13 @@ def daily_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.aggregate("slots", F.lit(""), lambda text, s: at_day(text, s["day"], s["slot"]))
     february = F.month("month") == 2
     text = F.when(february, at_day(text, F.lit(30), F.lit("  100   "))).otherwise(text)
-    header = F.concat("station_id", F.date_format("month", "yyyyMM"), "element")
+
+    def station(key: str) -> Column:
+        return F.concat(F.lit("SU"), F.lpad(F.col(key).cast("string"), 9, "0"))
+
+    header = F.concat(station("l_suppkey"), F.date_format("month", "yyyyMM"), "element")
     full = months.select(
-        F.rtrim(F.concat(header, text)).alias("value"), F.col("station_id").alias("file_stem")
-    )
-    ids = table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("SU"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0")).alias("value")
+        F.rtrim(F.concat(header, text)).alias("value"), station("l_suppkey").alias("file_stem")
     )
+    ids = table(spark, sf_dir, "supplier").select(station("s_suppkey").alias("value"))
     return full.unionByName(ids.withColumn("file_stem", F.col("value")))
