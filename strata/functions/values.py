@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from strata.functions.text import as_column, strip
+from strata.functions.text import as_column, quoted, strip
 
 # What counts as a number in text. A cast of other text costs an exception per value, and Java
 # would also take spellings such as `1d`, so text is matched before it is cast.
@@ -24,6 +25,14 @@ def number(column: Column | str) -> Column:
     return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
 
 
+def as_number(df: DataFrame, name: str) -> Column:
+    """A column as double without NaN; text is parsed, numbers are only cast."""
+    column = quoted(name)
+    if isinstance(df.schema[name].dataType, NumericType):
+        return nan_to_null(column)
+    return number(F.col(column).cast("string"))
+
+
 def whole_number(column: Column | str) -> Column:
     """Text to int; anything that is not a whole number becomes NULL."""
     text = as_column(column)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
-from strata.functions.values import nan_to_null, number, share
-from strata.operators.reshape import quoted
+from strata.functions.text import quoted
+from strata.functions.values import as_number, nan_to_null, share
 
 # The plausible range of an anomaly.
 LOWEST_ANOMALY = -5.0
@@ -42,7 +42,8 @@ def wide_quality(
     """Shares over all cells of several text columns: present, and numeric within a range."""
     cells = F.count(F.lit(1)) * F.lit(len(columns))
     present = _sum([F.count(quoted(name)) for name in columns])
-    valid = _sum([F.count_if(in_range(number(quoted(name)), lowest, highest)) for name in columns])
+    values = [as_number(wide, name) for name in columns]
+    valid = _sum([F.count_if(in_range(value, lowest, highest)) for value in values])
     return _shares(wide, present, valid, cells)
 
 
@@ -79,12 +80,21 @@ def predicate_quality(df: DataFrame, value: Column, *others: Column) -> DataFram
     return _shares(df, F.count_if(value), F.count_if(valid), F.count(F.lit(1)))
 
 
+def _parses(df: DataFrame, name: str, parse: Callable[[Column], Column]) -> Column:
+    """A date or time is there; only text has to be parsed to know."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+        return F.col(name).isNotNull()
+    text = F.col(name) if isinstance(kind, StringType) else F.col(name).cast("string")
+    return parse(text).isNotNull()
+
+
 def grid_quality(df: DataFrame) -> DataFrame:
     """Value numeric; valid if also the time parses and the variable is known."""
     return predicate_quality(
         df,
-        number(F.col("value").cast("string")).isNotNull(),
-        F.try_to_timestamp(F.col("time").cast("string")).isNotNull(),
+        as_number(df, "value").isNotNull(),
+        _parses(df, "time", F.try_to_timestamp),
         F.col("variable").isNotNull(),
     )
 
@@ -93,8 +103,8 @@ def daily_quality(df: DataFrame, elements: Sequence[str]) -> DataFrame:
     """Value numeric; valid if also the date parses and the element is one of ``elements``."""
     return predicate_quality(
         df,
-        number(F.col("value").cast("string")).isNotNull(),
-        F.try_to_date(F.col("date").cast("string")).isNotNull(),
+        as_number(df, "value").isNotNull(),
+        _parses(df, "date", F.try_to_date),
         F.coalesce(F.col("element").isin(list(elements)), F.lit(False)),
     )
 

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.dates import MONTH_LABELS, MONTH_NAMES, date_from_parts
-from strata.functions.text import as_column, snake_name
-from strata.functions.values import number, whole_number, without_sentinel
+from strata.functions.text import as_column, quoted, snake_name
+from strata.functions.values import as_number, number, whole_number, without_sentinel
 from strata.sources.delimited import MISSING_MARK
 
 # Years outside this range are not years.
@@ -18,11 +18,6 @@ FIRST_YEAR = 1800
 LAST_YEAR = 2100
 
 
-def quoted(name: str) -> str:
-    """A column name that may hold dots or blanks, as a reference."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def unpivot_columns(
     df: DataFrame, ids: Sequence[str | Column], columns: Sequence[str], variable: str, value: str
 ) -> DataFrame:
@@ -75,13 +70,8 @@ def sheet_to_rows(sheet: DataFrame) -> DataFrame:
     named = snake_case_columns(sheet)
     year = year_column(named.columns)
     metrics = [name for name in named.columns if name != year]
-
-    def as_number(name: str) -> Column:
-        return number(F.col(name).cast("string"))
-
-    numeric = named.select(
-        as_number(year).alias(year), *[as_number(name).alias(name) for name in metrics]
-    )
+    numeric = named.select(*[as_number(named, name).alias(name) for name in (year, *metrics)])
     dated = valid_years(numeric, year)
-    long = unpivot_columns(dated, [F.col(year).cast("int").alias("year")], metrics, "metric", "value")
+    whole_year = F.col(year).cast("int").alias("year")
+    long = unpivot_columns(dated, [whole_year], metrics, "metric", "value")
     return long.where(F.col("value").isNotNull())

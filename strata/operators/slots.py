@@ -50,9 +50,9 @@ def explode_slots(
     """
     first_days = F.sequence(F.lit(1), F.lit(SLOTS), F.lit(BLOCK_DAYS))
     start = (F.col("block_day") - 1) * SLOT_WIDTH + HEADER_WIDTH + 1
-    blocks = headers.select("value", *columns, F.explode(first_days).alias("block_day")).select(
-        *columns, "block_day", F.col("value").substr(start, F.lit(BLOCK_DAYS * SLOT_WIDTH)).alias("block")
-    )
+    block = F.col("value").substr(start, F.lit(BLOCK_DAYS * SLOT_WIDTH))
+    blocks = headers.select("value", *columns, F.explode(first_days).alias("block_day"))
+    blocks = blocks.select(*columns, "block_day", block.alias("block"))
     if skip_blank:
         blocks = blocks.where(~is_blank("block"))
     offsets = F.sequence(F.lit(0), F.lit(BLOCK_DAYS - 1))

@@ -28,10 +28,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def create_session(app_name: str, **settings: str) -> SparkSession:
-    """Get or create a session; ``settings`` uses ``_`` for ``.`` (``spark_sql_shuffle_partitions``)."""
+    """Get or create a session; in the names of ``settings`` two underscores stand for a dot."""
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     for key, value in settings.items():
-        builder = builder.config(key.replace("_", "."), value)
+        builder = builder.config(key.replace("__", "."), value)
     return configure(builder.getOrCreate())
 
 

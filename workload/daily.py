@@ -184,7 +184,8 @@ def flat_daily(spark, sf_dir):
 
 @query("""
     SELECT c_custkey FROM customer WHERE c_custkey NOT IN (
-        SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) = 2001)
+        SELECT o_custkey FROM orders
+        WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) = 2001)
 """)
 def missing_sources(spark, sf_dir):
     """Customers without an urgent order in 2001."""
@@ -222,11 +223,10 @@ def lookup_join(spark, sf_dir):
 
 @query("""
     SELECT CAST(o_custkey AS VARCHAR) AS stem,
-           min_by('root/' || CASE WHEN o_orderstatus = 'O' THEN '' ELSE 'nested/' END || o_orderkey,
-                  (CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END,
-                   'root/' || CASE WHEN o_orderstatus = 'O' THEN '' ELSE 'nested/' END || o_orderkey)
-           ) AS path
-    FROM orders GROUP BY o_custkey
+           min_by(path, (CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END, path)) AS path
+    FROM (SELECT *, CASE WHEN o_orderstatus = 'O' THEN 'root/' ELSE 'root/nested/' END
+                    || o_orderkey AS path FROM orders)
+    GROUP BY o_custkey
 """)
 def preferred_file_per_stem(spark, sf_dir):
     """One path per customer, one in the first folder before those in the nested one."""

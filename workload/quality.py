@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions.dates import MONTH_NAMES
+from strata.functions.values import number
 from strata.operators.quality import (
     daily_quality,
     grid_quality,
@@ -20,7 +21,7 @@ from strata.plans.cleaned import DAILY_TABLE, clean_anomalies, clean_carbon, cle
 from strata.plans.evaluation import quality_scores
 from strata.session import shared_folder
 from strata.sinks import write_layer
-from strata.sources.delimited import missing_marks_to_null
+from strata.sources.delimited import MISSING_MARK, missing_marks_to_null
 from workload import shapes
 from workload.registry import query
 from workload.shapes import DAILY_SQL, GRID_SQL, WIDE_LONG_SQL, rounded, table
@@ -106,31 +107,34 @@ def quality_of_predicate(spark, sf_dir):
 def quality_of_domain(spark, sf_dir):
     """Errors have no number, views an impossible date and signups an unknown element."""
     kind = F.col("event_type")
+    day = F.date_format("ts", "yyyy-MM-dd")
     events = table(spark, sf_dir, "events").select(
         F.when(kind == "error", "NaN").otherwise(F.col("value").cast("string")).alias("value"),
-        F.when(kind == "view", "2024-02-31").otherwise(F.to_date("ts").cast("string")).alias("date"),
+        F.when(kind == "view", "2024-02-31").otherwise(day).alias("date"),
         F.when(kind != "signup", kind).alias("element"),
     )
-    return rounded(daily_quality(events, ["click", "error", "purchase", "view"]), *SHARES, digits=6)
+    known = ["click", "error", "purchase", "view"]
+    return rounded(daily_quality(events, known), *SHARES, digits=6)
 
 
 @query("""
     SELECT round(0.5::DOUBLE * count(*) FILTER (l_tax > 0) / count(*)
-                 + 0.5::DOUBLE * count(*) FILTER (l_tax BETWEEN 0.02 AND 0.06) / count(*), 6) AS score
+                 + 0.5::DOUBLE * count(*) FILTER (l_tax BETWEEN 0.02 AND 0.06) / count(*), 6)
+             AS score
     FROM lineitem
 """)
 def quality_score(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").withColumn("l_tax", F.nullif("l_tax", F.lit(0.0)))
-    return rounded(range_quality(lines, "l_tax", 0.02, 0.06).select(score().alias("score")), "score", digits=6)
+    shares = range_quality(lines, "l_tax", 0.02, 0.06)
+    return rounded(shares.select(score().alias("score")), "score", digits=6)
 
 
 def scores(spark, sf_dir):
     """Scores of four datasets shaped from the tables, before and after cleaning."""
     wide = shapes.wide_months(spark, sf_dir)
     # Scaled so that part of the values is a plausible anomaly.
-    wide = wide.withColumns(
-        {m: F.coalesce((F.col(m).try_cast("double") / 50000.0).cast("string"), F.lit("***")) for m in MONTH_NAMES}
-    )
+    scaled = {m: (number(m) / 50000.0).cast("string") for m in MONTH_NAMES}
+    wide = wide.withColumns({m: F.coalesce(v, F.lit(MISSING_MARK)) for m, v in scaled.items()})
     sheet = shapes.sheet(spark, sf_dir)
     cells = shapes.grid(spark, sf_dir).withColumns(
         {

@@ -151,7 +151,8 @@ def month_names_to_numbers(spark, sf_dir):
     wide = shapes.wide_months(spark, sf_dir)
     names = [name for name in wide.columns if name != "Year"]
     long = unpivot_columns(wide, ["Year"], names, "month", "text")
-    return long.groupBy(F.col("Year").cast("int").alias("year"), month_number("month").alias("month_number")).agg(
+    keys = [F.col("Year").cast("int").alias("year"), month_number("month").alias("month_number")]
+    return long.groupBy(*keys).agg(
         F.count_if(F.col("text") != "***").alias("present"), F.count(F.lit(1)).alias("months")
     )
 
@@ -173,7 +174,7 @@ def padded_month_labels(spark, sf_dir):
 """)
 def rows_per_source_file(spark, sf_dir):
     named = None
-    for name, column in (("customer", "c_custkey"), ("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
+    for name in ("customer", "lineitem", "orders"):
         rows = with_source_file(table(spark, sf_dir, name)).select("source_file")
         named = rows if named is None else named.unionByName(rows)
     return named.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
@@ -204,7 +205,8 @@ def texts_containing(spark, sf_dir):
 
 @query("""
     SELECT coalesce(
-        (SELECT min(url) FROM pages WHERE contains(lower(url), 'en') AND contains(lower(url), 'com')),
+        (SELECT min(url) FROM pages
+         WHERE contains(lower(url), 'en') AND contains(lower(url), 'com')),
         (SELECT min(url) FROM pages)) AS sheet
 """)
 def sheet_choice(spark, sf_dir):

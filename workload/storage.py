@@ -36,6 +36,23 @@ def input_manifest(spark, sf_dir):
     return files.select("dataset", "relative_path", "length")
 
 
+# The given tables, one file each.
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+@query(f"""
+    SELECT name || '.parquet' AS relative_path, true AS has_bytes
+    FROM (VALUES {', '.join(f"('{name}')" for name in TABLES)}) v(name)
+""")
+def input_files(spark, sf_dir):
+    """The listing of the given tables' files, by name."""
+    files = manifest(spark, sf_dir, "tables", pattern="*.parquet")
+    return files.select("relative_path", (F.col("length") > 0).alias("has_bytes"))
+
+
 @query("SELECT 'orders.parquet' AS name, 0::BIGINT AS empty_files")
 def first_available_files(spark, sf_dir):
     """The first place that has files: no archives here, so the plain file is taken."""
@@ -261,7 +278,13 @@ def evaluation_document(spark, sf_dir):
     )
 
 
-_REPORT_LABELS = (("nasa", "NASA"), ("gcb", "GCB"), ("era5", "ERA5"), ("noaa", "NOAA"), ("overall", "Overall"))
+_REPORT_LABELS = (
+    ("nasa", "NASA"),
+    ("gcb", "GCB"),
+    ("era5", "ERA5"),
+    ("noaa", "NOAA"),
+    ("overall", "Overall"),
+)
 _METRIC_ROWS = ", ".join(
     f"({position}, 'metric', '{label}', {value})"
     for position, (label, value) in enumerate(

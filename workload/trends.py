@@ -121,7 +121,7 @@ def serving_query_on_stored_trend(spark, sf_dir):
 @query("SELECT 'signup' AS event_type")
 def choose_target(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    return choose_match(events, "event_type", ["refund", "SIGN".lower(), "view"], alias="event_type")
+    return choose_match(events, "event_type", ["refund", "sign", "view"], alias="event_type")
 
 
 @query("SELECT min(p_type) AS p_type, min(p_name) AS p_name FROM part")
@@ -183,7 +183,9 @@ def distinct_dates(spark, sf_dir):
 """)
 def union_of_positions(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(
-        F.lit("customer").alias("source"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")
+        F.lit("customer").alias("source"),
+        F.col("c_name").alias("name"),
+        F.col("c_acctbal").alias("balance"),
     )
     suppliers = table(spark, sf_dir, "supplier").select(F.lit("supplier"), "s_name", "s_acctbal")
     return union_by_position(customers, suppliers)
@@ -211,7 +213,11 @@ def ordered_means(spark, sf_dir):
     return in_order(rounded(means, "value"), "date", "event_type")
 
 
-UNITS = [("land_use", "t", 1.0), ("fossil_emissions", "Gt", float("nan")), ("ocean_sink", None, 2.0)]
+UNITS = [
+    ("land_use", "t", 1.0),
+    ("fossil_emissions", "Gt", float("nan")),
+    ("ocean_sink", None, 2.0),
+]
 
 
 @query(f"""
