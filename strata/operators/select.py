@@ -7,13 +7,18 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
-from strata.functions.text import as_column, contains_any_case
+from strata.functions.text import as_column, contains_any_case, quoted
 from strata.sources.lines import POSITION
 
-# A side of a join is broadcast only if it is counted and has no more rows than this. Station
-# rows are at most 71 characters, so the broadcast table stays near 100 MB.
-MAX_BROADCAST_ROWS = 500_000
+# A side of a join is broadcast only if its bytes are known to stay within this.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+# Room for one value of a fixed size with its bookkeeping, and for one station row, whose text
+# fields come from at most 71 characters.
+VALUE_BYTES = 16
+STATION_BYTES = 256
 
 
 class Box(NamedTuple):
@@ -63,15 +68,26 @@ def last_row_per_key(df: DataFrame, key: str, order: Sequence[str] = POSITION) -
     return df.groupBy(key).agg(latest).select(key, "latest.*").select(*df.columns)
 
 
-def small_side(df: DataFrame, *, proven_rows: int | None = None) -> DataFrame:
-    """``df`` marked for broadcast if its row count allows it, else as it is.
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a table's values from one aggregate over it."""
+    sizes = F.lit(VALUE_BYTES * len(df.columns)).cast("long")
+    for field in df.schema.fields:
+        if not isinstance(field.dataType, (NumericType, DatetimeType, BooleanType)):
+            text = F.col(quoted(field.name)).cast("string")
+            sizes = sizes + F.coalesce(F.octet_length(text), F.lit(0))
+    return df.agg(F.coalesce(F.sum(sizes), F.lit(0))).first()[0]
+
+
+def small_side(df: DataFrame, *, proven_bytes: int | None = None) -> DataFrame:
+    """``df`` marked for broadcast if its size allows it, else as it is.
 
-    ``proven_rows`` is a bound the caller knows, such as a ``limit``; without it the rows are
-    counted, so a side that is costly to compute should be a stored table. A larger side is
-    shuffled with the other one, where adaptive execution splits the partition of a hot key.
+    ``proven_bytes`` is a bound the caller knows, such as a ``limit`` on rows of bounded width;
+    without it the table is measured, so a side that is costly to compute should be stored first.
+    A larger side is shuffled with the other one, where adaptive execution splits the partition
+    of a hot key.
     """
-    rows = df.count() if proven_rows is None else proven_rows
-    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
+    size = measured_bytes(df) if proven_bytes is None else proven_bytes
+    return F.broadcast(df) if size <= MAX_BROADCAST_BYTES else df
 
 
 def attach(facts: DataFrame, attributes: DataFrame, fact_key: str, attribute_key: str) -> DataFrame:

@@ -30,14 +30,18 @@ _HEADER = {
 }
 
 
-def daily_headers(lines: DataFrame, elements: Sequence[str] | None = ELEMENTS) -> DataFrame:
-    """Lines long enough to hold a header, with its fields and the month's first day."""
+def with_header(lines: DataFrame) -> DataFrame:
+    """Lines with the fields of their header and the month's first day, NULL if there is none."""
     fields = {name: between_positions("value", *at) for name, at in _HEADER.items()}
-    headers = lines.where(F.length("value") >= HEADER_WIDTH).withColumns(fields)
-    if elements is not None:
-        headers = headers.where(F.col("element").isin(list(elements)))
     first_day = date_from_parts("year_text", "month_text")
-    return headers.withColumn("first_day", F.when(F.col("year_text") != "0000", first_day))
+    dated = F.when(F.col("year_text") != "0000", first_day)
+    return lines.withColumns(fields).withColumn("first_day", dated)
+
+
+def daily_headers(lines: DataFrame, elements: Sequence[str]) -> DataFrame:
+    """Lines long enough to hold a header and of one of ``elements``, with their header."""
+    long_enough = lines.where(F.length("value") >= HEADER_WIDTH)
+    return with_header(long_enough).where(F.col("element").isin(list(elements)))
 
 
 def explode_slots(
@@ -123,13 +127,22 @@ OUTCOMES = ("bad_month", "blank", "missing", "flagged", "impossible_day", "malfo
 def count_slots(lines: DataFrame, elements: Sequence[str] = ELEMENTS) -> DataFrame:
     """One row of counts: lines and slots that ``decode_daily_lines`` keeps or drops, and why.
 
-    A slot is counted once, under the first of ``OUTCOMES`` that applies.
+    A slot is counted once, under the first of ``OUTCOMES`` that applies. All counts come from
+    one pass over the lines; a line without wanted slots stands in it with its first slot only.
     """
-    headers = daily_headers(lines, elements)
-    slots = explode_slots(headers, ["first_day"], days=F.lit(SLOTS), skip_blank=False)
+    short = F.length("value") < HEADER_WIDTH
+    wanted = ~short & F.col("element").isin(list(elements))
+    headers = with_header(lines).withColumns({"short": short, "wanted": wanted})
+    slots = explode_slots(
+        headers,
+        ["first_day", "short", "wanted"],
+        days=F.when(F.col("wanted"), SLOTS).otherwise(1),
+        skip_blank=False,
+    ).withColumns(slot_fields())
     tenths = whole_number("value_text")
     outcome = (
-        F.when(F.col("first_day").isNull(), "bad_month")
+        F.when(~F.col("wanted"), "line")
+        .when(F.col("first_day").isNull(), "bad_month")
         .when(is_blank("value_text"), "blank")
         .when(tenths == MISSING_VALUE, "missing")
         .when(F.col("qflag").isNotNull(), "flagged")
@@ -137,16 +150,10 @@ def count_slots(lines: DataFrame, elements: Sequence[str] = ELEMENTS) -> DataFra
         .when(tenths.isNull(), "malformed")
         .otherwise("kept")
     )
-    outcomes = slots.withColumns(slot_fields()).select(outcome.alias("outcome"))
-    counts = outcomes.agg(
-        *[F.count_if(F.col("outcome") == name).alias(f"{name}_slots") for name in OUTCOMES]
-    )
-    short = F.length("value") < HEADER_WIDTH
-    wanted = between_positions("value", *_HEADER["element"]).isin(list(elements))
-    line_counts = lines.agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count_if(short).alias("short_lines"),
-        F.count_if(~short & ~wanted).alias("other_lines"),
+    outcomes = slots.select("day", "short", "wanted", outcome.alias("outcome"))
+    return outcomes.agg(
+        F.count_if(F.col("day") == 1).alias("lines"),
+        F.count_if(F.col("short")).alias("short_lines"),
+        F.count_if(~F.col("short") & ~F.col("wanted")).alias("other_lines"),
+        *[F.count_if(F.col("outcome") == name).alias(f"{name}_slots") for name in OUTCOMES],
     )
-    slot_counts = counts.select(F.struct(*counts.columns)).scalar()
-    return line_counts.withColumn("slots", slot_counts).select(*line_counts.columns, "slots.*")

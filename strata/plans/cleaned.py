@@ -13,6 +13,7 @@ from strata.operators.aggregate import data_variables, grid_mean, in_order, in_s
 from strata.operators.reshape import drop_empty_columns, months_to_rows, sheet_to_rows
 from strata.operators.select import (
     MAX_STATIONS,
+    STATION_BYTES,
     Box,
     attach,
     choose_match,
@@ -154,5 +155,6 @@ def run_daily(
     files = keep_known(station_files(spark, roots), ids, "stem")
     missing = keep_missing(ids, files, "stem").withColumnRenamed("stem", "station_id")
     lines = read_selected_files(spark, files, roots, bound=max_stations)
-    rows = clean_daily(lines, small_side(stations, proven_rows=max_stations), strict=strict)
+    size = None if max_stations is None else max_stations * STATION_BYTES
+    rows = clean_daily(lines, small_side(stations, proven_bytes=size), strict=strict)
     return spark.read.parquet(write_layer(rows, root, DAILY_TABLE)), missing

@@ -33,9 +33,12 @@ def publish(df: DataFrame, root: str, dataset: str, **options) -> DataFrame:
 
 
 def write_single_file(df: DataFrame, path: str, *, max_rows: int = MAX_SINGLE_FILE_ROWS) -> str:
-    """Write Parquet as one file when the row count allows it, else as many files."""
+    """Write Parquet as one file when the row count allows it, else as many files.
+
+    Only the counted rows meet in one task; the work before that stays spread.
+    """
     small = df.count() <= max_rows
-    (df.coalesce(1) if small else df).write.mode("overwrite").parquet(path)
+    (df.repartition(1) if small else df).write.mode("overwrite").parquet(path)
     return path
 
 

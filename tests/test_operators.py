@@ -119,12 +119,15 @@ def test_small_side_is_broadcast_only_within_the_bound(spark, monkeypatch):
         return select.attach(facts, side, "id", "k")._jdf.queryExecution().toString()
 
     assert "strategy=broadcast" in plan(select.small_side(names))
-    monkeypatch.setattr(select, "MAX_BROADCAST_ROWS", 4)
+    assert select.measured_bytes(names) == 5 * select.VALUE_BYTES
+    wide = names.select(F.repeat(F.lit("é"), 100).alias("a.b"), "k")
+    assert select.measured_bytes(wide) == 5 * (200 + 2 * select.VALUE_BYTES)
+    monkeypatch.setattr(select, "MAX_BROADCAST_BYTES", 4)
     assert "strategy=broadcast" not in plan(select.small_side(names))
 
 
 def test_hot_key_is_split_when_the_lookup_side_is_too_large(spark, settings, monkeypatch):
-    monkeypatch.setattr(select, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(select, "MAX_BROADCAST_BYTES", 0)
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.text import between_positions
 from strata.operators.select import (
+    STATION_BYTES,
     Box,
     attach,
     in_box,
@@ -147,7 +148,7 @@ def _selected_suppliers(spark, sf_dir):
 @query(STATION_DAILY_SQL)
 def station_daily(spark, sf_dir):
     """Selected stations, their daily lines decoded, attributes attached."""
-    stations = small_side(_selected_suppliers(spark, sf_dir), proven_rows=MAX_SUPPLIERS)
+    stations = small_side(_selected_suppliers(spark, sf_dir), proven_bytes=MAX_SUPPLIERS * STATION_BYTES)
     return clean_daily(shapes.daily_lines(spark, sf_dir), stations)
 
 
@@ -172,7 +173,7 @@ def station_daily_from_files(spark, sf_dir):
     lines = spark.read.schema("value string, prefix string").text(f"{root}/daily")
     lines = prune_lines(lines, stations, PREFIX_LENGTH)
     lines = lines.withColumn("file_stem", between_positions("value", 0, 11))
-    return clean_daily(lines, small_side(stations, proven_rows=MAX_SUPPLIERS))
+    return clean_daily(lines, small_side(stations, proven_bytes=MAX_SUPPLIERS * STATION_BYTES))
 
 
 @query(f"""
