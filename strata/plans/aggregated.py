@@ -20,6 +20,7 @@ from strata.plans.cleaned import ANOMALY_TABLE, CARBON_TABLE, GRID_TABLE
 from strata.sinks import layer_path, write_layer
 from strata.sources.tables import read_parquet
 
+# Where each table lies below the root of its layer.
 TREND_TABLE = "climate/temp_trend"
 CARBON_ANNUAL_TABLE = "climate/gcb_annual"
 MULTI_SOURCE_TABLE = "climate/multi_source_join"

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from strata import schemas
-from strata.functions.dates import to_second
+from strata.functions.dates import text_to_timestamp, to_second
 from strata.operators.aggregate import data_variables, grid_mean, in_order, in_stable_order
 from strata.operators.reshape import drop_empty_columns, months_to_rows, sheet_to_rows
 from strata.operators.select import (
@@ -32,6 +33,7 @@ from strata.sources.files import read_selected_files, station_files
 from strata.sources.fixed_width import ELEMENTS, inventory_stations, read_stations
 from strata.sources.lines import POSITION, read_lines
 
+# Where each table lies below the root of its layer.
 ANOMALY_TABLE = "nasa/gistemp"
 CARBON_TABLE = "gcb/global_carbon_budget"
 GRID_TABLE = "copernicus/era5_asean"
@@ -56,8 +58,13 @@ def clean_carbon(sheet: DataFrame, *, ordered: bool = True) -> DataFrame:
 
 
 def clean_grid(cells: DataFrame, *, ordered: bool = True) -> DataFrame:
-    """Grid cells ``(time, variable, units, source_file, value)`` to one mean per time step."""
-    steps = data_variables(cells).withColumn("time", to_second(F.col("time").cast("timestamp")))
+    """Grid cells ``(time, variable, units, source_file, value)`` to one mean per time step.
+
+    Times may be text; text that is no time becomes NULL.
+    """
+    is_text = isinstance(cells.schema["time"].dataType, StringType)
+    time = text_to_timestamp("time") if is_text else F.col("time").cast("timestamp")
+    steps = data_variables(cells).withColumn("time", to_second(time))
     means = grid_mean(steps, ["time", "variable", "units", "source_file"])
     means = schemas.conform(means, schemas.GRID)
     return in_order(means, "time", "variable", "source_file") if ordered else means

@@ -46,15 +46,15 @@ def main() -> None:
             if names != sql_names:
                 problems.append(f"columns {names} / {sql_names}")
             if types != sql_types:
-                diff = {k: (types.get(k), sql_types.get(k)) for k in {*types, *sql_types} if types.get(k) != sql_types.get(k)}
-                problems.append(f"types {diff}")
+                problems.append(f"types {types} / {sql_types}")
             if rows != expected:
                 problems.append(
                     f"rows {sum(rows.values())} / {sum(expected.values())}"
                     f" spark-only {list((rows - expected).items())[:3]}"
                     f" sql-only {list((expected - rows).items())[:3]}"
                 )
-            print(f"{'FAIL' if problems else 'ok':5} {name} {sum(rows.values())} {seconds:.2f}s", *problems, flush=True)
+            verdict = "FAIL" if problems else "ok"
+            print(f"{verdict:5} {name} {sum(rows.values())} {seconds:.2f}s", *problems, flush=True)
             bad += bool(problems)
         except Exception as error:  # noqa: BLE001 - report and go on with the next query
             bad += 1

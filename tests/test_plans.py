@@ -133,6 +133,13 @@ def test_grid_job(spark, tmp_path):
     ]
 
 
+def test_grid_times_as_text(spark):
+    cells = grid_cells(spark).withColumn("time", F.col("time").cast("string"))
+    noon = cells.limit(1).withColumn("time", F.lit("noon"))
+    got = cleaned.clean_grid(cells.unionByName(noon))
+    assert got.count() == 5 and got.where("time is null").count() == 1
+
+
 def test_daily_job(spark, raw, tmp_path):
     got, missing = run_daily(spark, raw, str(tmp_path / "silver"), max_stations=4)
     # Four matches in file order: 3, 2, 5 and the second entry of 3, whose attributes win.
