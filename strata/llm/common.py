@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.session import shared_folder
 
 # Rows that one window or one task is meant to hold at most.
-ROWS_PER_GROUP = 20_000
+ROWS_PER_GROUP = 4_000
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
@@ -30,3 +30,23 @@ def text_or_empty(name: str = "text") -> Column:
 def bits_for(rows: int, per_group: int = ROWS_PER_GROUP) -> int:
     """How many leading bits of a hash split ``rows`` rows into groups of about ``per_group``."""
     return min(30, max(2, (max(rows, 1) // per_group).bit_length() + 1))
+
+
+def numbered(rows: DataFrame, group: list[str], cell: str, order: list, name: str) -> DataFrame:
+    """Add ``name``, the 0-based place of a row in its group, and ``<name>_of``, the group's size.
+
+    Cells cut a group along its order. Their sizes are counted with a partial aggregate and summed up
+    before each cell; only the rows of one cell are sorted together.
+    """
+    cells = rows.groupBy(*group, cell).agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    before = whole.orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    starts = cells.select(
+        *group,
+        cell,
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
+        F.sum("_n").over(whole).alias(f"{name}_of"),
+    )
+    place = F.row_number().over(Window.partitionBy(*group, cell).orderBy(*order)) - 1
+    numbered = rows.withColumn("_place", place).join(starts, [*group, cell])
+    return numbered.withColumn(name, F.col("_start") + F.col("_place")).drop("_start", "_place")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import quality_rules, sharding, warc
+from strata.llm import packing, quality_rules, sharding, warc
 from strata.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_files() -> dict[str, str]:
+    """Places of the public vocabulary, the same on every machine."""
+    import public_tokenizers
+
+    return {
+        "tokenizer_path": str(public_tokenizers.path("byte_bpe_50k.json")),
+        "ranks_path": str(public_tokenizers.path("byte_bpe_50k.tiktoken")),
+    }
+
+
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of 16, interleaved by source."""
@@ -58,3 +68,9 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line and document rules on every document."""
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("cleaned")
+
+
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), **tokenizer_files())

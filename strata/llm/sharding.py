@@ -2,34 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bits_for, settle, text_or_empty
+from strata.llm.common import bits_for, numbered, settle, text_or_empty
 
 HEX_DIGITS = 15  # of the drawn hash that are read as a number; 60 bits fit a long
 
 
-def _numbered(rows: DataFrame, group: list[str], cell: str, order: list, name: str) -> DataFrame:
-    """Add ``name``, the 0-based place of a row in its group, and ``<name>_of``, the group's size.
-
-    Cells cut a group along its order. Their sizes are counted with a partial aggregate and summed up
-    before each cell; only the rows of one cell are sorted together.
-    """
-    cells = rows.groupBy(*group, cell).agg(F.count(F.lit(1)).alias("_n"))
-    whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    before = whole.orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
-    starts = cells.select(
-        *group,
-        cell,
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
-        F.sum("_n").over(whole).alias(f"{name}_of"),
-    )
-    place = F.row_number().over(Window.partitionBy(*group, cell).orderBy(*order)) - 1
-    numbered = rows.withColumn("_place", place).join(starts, [*group, cell])
-    return numbered.withColumn(name, F.col("_start") + F.col("_place")).drop("_start", "_place")
-
-
 def interleave(
     docs: DataFrame,
     *,
@@ -66,11 +46,11 @@ def interleave(
     number = F.conv(F.substring("drawn", 1, HEX_DIGITS), 16, 10).cast("long")
     rows = rows.withColumn("part", F.shiftright(number, 4 * HEX_DIGITS - bits))
     order = ["drawn", "doc_id", "size", "text_crc32"]
-    ranked = _numbered(rows, ["stratum"], "part", order, "place")
+    ranked = numbered(rows, ["stratum"], "part", order, "place")
     rank = (F.col("place") + F.lit(0.5)) / F.col("place_of")
     ranked = settle(ranked.withColumn("rank", rank).drop("part", "place", "place_of"), "shard-ranks")
     ranked = ranked.withColumn("part", F.floor(F.col("rank") * (1 << bits)))
-    placed = _numbered(ranked, [], "part", ["rank", "stratum", *order], "place")
+    placed = numbered(ranked, [], "part", ["rank", "stratum", *order], "place")
     shard = F.expr(f"cast((place * {n_shards}) div place_of as int)")
     first = F.expr(f"(_shard * place_of + {n_shards - 1}) div {n_shards}")
     return placed.withColumn("_shard", shard).select(
