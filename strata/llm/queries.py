@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import packing, pii, quality_rules, sharding, warc
+from strata.llm import packing, pii, quality_rules, sharding, toxicity, warc
 from strata.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.detect(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Low quality, then toxicity, of every document, by a chain fitted on the labelled ones."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    labels = labels.select("doc_id", (1 - F.col("quality")).alias("poor"), "toxic")
+    chain = toxicity.fit_chain(docs, labels, ["poor", "toxic"])
+    return toxicity.flag(toxicity.score(docs, chain), ["poor", "toxic"])
