@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import packing, pii, quality_rules, sharding, toxicity, warc
+from strata.llm import licenses, packing, pii, quality_rules, sharding, toxicity, warc
 from strata.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = labels.select("doc_id", (1 - F.col("quality")).alias("poor"), "toxic")
     chain = toxicity.fit_chain(docs, labels, ["poor", "toxic"])
     return toxicity.flag(toxicity.score(docs, chain), ["poor", "toxic"])
+
+
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence texts and notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
