@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import licenses, packing, pii, quality_rules, sharding, toxicity, warc
+from strata.llm import licenses, packing, pii, quality_rules, sharding, suffixes, toxicity, warc
 from strata.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence texts and notices in every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of 100-byte strings that occur earlier."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
