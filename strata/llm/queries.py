@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import licenses, packing, pii, quality_rules, sharding, suffixes, toxicity, warc
+from strata.llm import decontamination, licenses, packing, pii, quality_rules, sharding, suffixes, toxicity, warc
 from strata.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,10 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of 100-byte strings that occur earlier."""
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in all documents."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.find_items(docs, items)
