@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, licenses, packing, pii, quality_rules, sharding, suffixes, toxicity, warc
+from strata.llm import decontamination, licenses, neardup, packing, pii, quality_rules, sharding, suffixes, toxicity, warc
 from strata.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +108,9 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items in all documents."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.find_items(docs, items)
+
+
+@query
+def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicates among all documents."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
