@@ -253,3 +253,10 @@ def near_duplicates(
         F.nullif(component, F.lit(NO_ID)).alias("component_id"),
         (F.col("id") == component).alias("kept"),
     )
+
+
+def without_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of the least id of each component; rows that repeat that id stay together."""
+    found = near_duplicates(docs, id_col=id_col, **options)
+    kept = found.where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_kept")).distinct()
+    return docs.join(kept, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) == F.col("_kept"), "left_semi")

@@ -56,6 +56,16 @@ class Encoder:
         return np.array(ids, dtype="<u4").tobytes()
 
 
+def public_files() -> dict[str, str]:
+    """Places of the public vocabulary's two files, the same on every machine."""
+    import public_tokenizers
+
+    return {
+        "tokenizer_path": str(public_tokenizers.path("byte_bpe_50k.json")),
+        "ranks_path": str(public_tokenizers.path("byte_bpe_50k.tiktoken")),
+    }
+
+
 @lru_cache(maxsize=2)
 def encoder(tokenizer_path: str, ranks_path: str | None) -> Encoder:
     return Encoder(tokenizer_path, ranks_path)

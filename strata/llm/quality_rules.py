@@ -53,12 +53,17 @@ def with_repeat_count(df: DataFrame, words: str, name: str) -> DataFrame:
     return df.drop("_hashes", "_windows", "_sorted", "_starts")
 
 
+ROW = "_row"
+
+
 def judge(
     docs: DataFrame,
     *,
+    with_row: bool = False,
     max_mark_share: float = 0.2,
     max_separator_share: float = 0.3,
     min_line_words: int = 3,
+    max_furniture_words: int = 30,
     max_lost: float = 0.3,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -72,18 +77,23 @@ def judge(
     * navigation: over ``max_separator_share`` separators a word, or nothing but menu labels,
     * boilerplate: a phrase of site furniture in it.
 
+    A phrase counts only in a line of at most ``max_furniture_words`` words.
+
     A document is rejected when it fails the base rules (under 20 words, or over 30 % of its words in
     repeated 8-word windows) or when the lines taken out hold over ``max_lost`` of its words.
 
     Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_lines_removed,
     n_words_removed, cleaned, kept`` to ``doc_id``. A NULL text counts as empty and is rejected; a row
-    that occurs twice is judged twice; an empty table gives no rows. Other columns are not passed on.
+    that occurs twice is judged twice; an empty table gives no rows. Other columns are passed on only
+    ``with_row``, as fields of the struct ``_row``.
     """
     text = text_or_empty(text_col)
-    df = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+    keep = ["doc_id", ROW] if with_row else ["doc_id"]
+    row = [F.struct("*").alias(ROW)] if with_row else []
+    df = docs.select(F.col(id_col).alias("doc_id"), *row, text.alias("text"))
     df = df.withColumn("words", words_of(F.col("text")))
     df = df.select(
-        "doc_id",
+        *keep,
         "text",
         "words",
         F.size("words").cast("long").alias("n_words"),
@@ -118,7 +128,7 @@ def judge(
             | ((x["words"] < min_line_words) & open_end)
             | (x["separators"] > x["words"] * max_separator_share)
             | line.rlike(f"(?i)^[{SPACE}]*(({MENU})[{SPACE}|/»>·•,-]*){{2,}}$")
-            | line.rlike(f"(?i)({FURNITURE})")
+            | ((x["words"] <= max_furniture_words) & line.rlike(f"(?i)({FURNITURE})"))
         )
 
     df = df.withColumn("measured", F.transform("lines", verdict))
@@ -127,7 +137,7 @@ def judge(
         F.transform("measured", lambda x: F.struct(x["line"].alias("line"), x["words"].alias("words"), fails(x).alias("failed"))),
     )
     df = df.select(
-        "doc_id",
+        *keep,
         "n_words",
         "word_chars",
         "n_symbols",
@@ -144,3 +154,16 @@ def judge(
     )
     enough = F.col("n_words_removed") <= F.col("n_words") * max_lost
     return df.withColumn("kept", ~F.col("base_failed") & enough)
+
+
+def clean(docs: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
+    """The documents that ``judge`` keeps, in the columns of ``docs``, without the failed lines.
+
+    The row number keeps the filter above the arrays: pushed below them, it would write each array's
+    expression out at every place that uses it.
+    """
+    judged = judge(docs, with_row=True, text_col=text_col, **options)
+    numbered = judged.withColumn("_number", F.monotonically_increasing_id())
+    judged = numbered.where((F.col("_number") >= 0) & F.col("kept"))
+    columns = [F.col("cleaned").alias(c) if c == text_col else F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns]
+    return judged.select(*columns)

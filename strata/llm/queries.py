@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from strata.llm import decontamination, licenses, neardup, packing, pii, quality_rules, sharding, suffixes, toxicity, warc
 from strata.session import shared_folder
 
@@ -25,16 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_files() -> dict[str, str]:
-    """Places of the public vocabulary, the same on every machine."""
-    import public_tokenizers
-
-    return {
-        "tokenizer_path": str(public_tokenizers.path("byte_bpe_50k.json")),
-        "ranks_path": str(public_tokenizers.path("byte_bpe_50k.tiktoken")),
-    }
-
-
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of 16, interleaved by source."""
@@ -73,7 +64,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
-    return packing.pack_documents(table(spark, sf_dir, "documents"), **tokenizer_files())
+    return packing.pack_documents(table(spark, sf_dir, "documents"), **packing.public_files())
 
 
 @query
@@ -114,3 +105,13 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicates among all documents."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules, near-duplicates, decontamination, personal data and packing, one after the other."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
