@@ -135,10 +135,15 @@ def _alike(threshold: int):
 
 
 def _joined(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
-    """``a, b`` with what each has in the column ``name``."""
+    """``a, b`` with what each has in the column ``name``.
+
+    The joins are merged, whatever the sizes: what is joined grows with the corpus, so a plan that
+    broadcasts the pairs of a small one would not be the plan of a large one.
+    """
     left = values.select(F.col("id").alias("a"), F.col(name).alias("of_a"))
     right = values.select(F.col("id").alias("b"), F.col(name).alias("of_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
+    whole = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+    return whole.select("a", "b", "of_a", "of_b")
 
 
 def _regions(forest: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -226,7 +231,8 @@ def near_duplicates(
 
     known = regions.select("id").distinct()
     signatures = settle(classes.join(known, "id", "left_semi").select("id", "signature"), "candidates")
-    compared = settle(texts.join(known, "id", "left_semi").dropDuplicates(["id"]), "compared-texts")
+    compared = texts.join(known.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
+    compared = settle(compared, "compared-texts")
 
     def links_among(some: DataFrame) -> DataFrame:
         agreeing = _joined(some, signatures, "signature").mapInArrow(_agreeing, "a long, b long")
