@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.text import as_column, strip, zero_padded
 
+# The month columns of the anomaly table.
 MONTH_NAMES = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 MONTH_LABELS = tuple(f"{index:02d}" for index in range(1, 13))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -84,11 +85,56 @@ def file_stem(path: Column | str) -> Column:
     return F.when(stem == "", name).otherwise(stem)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def exact_decimals(column: Column | str, digits: int) -> Column:
+    """The stored binary value rounded to ``digits`` decimals, exact ties to even, as text
+    with at least one decimal.
+
+    ``value * 10**digits`` is taken as a rounded product and its exact error: the value is split in
+    halves of 26 bits, whose products with the power are exact. The error decides where the rounded
+    product ends in one half; from 2**52 on the product has no fraction, and the error has it all.
+    From 2**62 on Java's text is taken.
+    """
+    power = float(10**digits)
+
+    def split(size: Column) -> Column:
+        high = size * 134217729.0 - (size * 134217729.0 - size)
+        error = (high * power - size * power) + (size - high) * power
+        return F.struct((size * power).alias("product"), error.alias("error"))
+
+    def whole_number(x: Column) -> Column:
+        large = x["product"] >= 2.0**52
+        whole = F.floor(x["product"]) + F.when(large, F.floor(x["error"])).otherwise(0)
+        rest = F.when(large, x["error"] - F.floor(x["error"])).otherwise(x["product"] - whole)
+        odd_or_above = (~large & (x["error"] > 0)) | ((large | (x["error"] == 0)) & (whole % 2 == 1))
+        return whole + ((rest > 0.5) | ((rest == 0.5) & odd_or_above)).cast("long")
+
+    def padded(number: Column) -> Column:
+        text = number.cast("string")
+        return F.lpad(text, F.greatest(F.length(text), F.lit(digits + 1)), F.lit("0"))
+
+    def pointed(text: Column) -> Column:
+        units = F.substring(text, F.lit(1), F.length(text) - digits)
+        return F.concat(units, F.lit("."), F.right(text, F.lit(digits)))
+
+    def written(value: Column) -> Column:
+        fits = F.abs(value) * power < 2.0**62
+        size = F.when(fits, F.abs(value))
+        text = let(let(let(let(size, split), whole_number), padded), pointed)
+        signed = F.concat(F.when(value < 0, "-").otherwise(""), text)
+        return F.when(fits, signed).when(value.isNotNull(), F.format_string(f"%.{digits}f", value))
+
+    return let(as_column(column).cast("double"), written)
+
+
 def fixed_decimals(column: Column | str, digits: int, suffix: str = "") -> Column:
-    """Number with a fixed count of decimals, ties to even; missing values read ``n/a``."""
-    rounded = F.bround(as_column(column).cast("double"), digits)
-    text = F.format_string(f"%.{digits}f{suffix}", rounded)
-    return F.when(rounded.isNull(), F.lit(MISSING_TEXT)).otherwise(text)
+    """Number with a fixed count of decimals; missing values read ``n/a``."""
+    value = as_column(column).cast("double")
+    return F.coalesce(F.concat(exact_decimals(value, digits), F.lit(suffix)), F.lit(MISSING_TEXT))
 
 
 def four_decimals(column: Column | str) -> Column:
@@ -100,17 +146,12 @@ def ratio_text(column: Column | str) -> Column:
 
 
 def human_size(column: Column | str) -> Column:
-    """Bytes as ``1.5KB``: one decimal, base 1024, ties to even; NULL stays NULL."""
+    """Bytes as ``1.5KB``: one decimal, base 1024; NULL stays NULL."""
     size = as_column(column).cast("double")
-    bands = None
-    for power, unit in enumerate(SIZE_UNITS):
-        text = F.format_string(f"%.1f{unit}", F.bround(size / F.lit(1024.0**power), 1))
-        if unit == SIZE_UNITS[-1]:
-            return bands.otherwise(text)
+    last = len(SIZE_UNITS) - 1
+    value, unit = size / F.lit(1024.0**last), F.lit(SIZE_UNITS[last])
+    for power in reversed(range(last)):
         below = size < F.lit(1024.0 ** (power + 1))
-        bands = (
-            F.when(size.isNull(), F.lit(None).cast("string")).when(below, text)
-            if bands is None
-            else bands.when(below, text)
-        )
-    raise AssertionError("no size unit")
+        value = F.when(below, size / F.lit(1024.0**power)).otherwise(value)
+        unit = F.when(below, SIZE_UNITS[power]).otherwise(unit)
+    return F.when(size.isNotNull(), F.concat(exact_decimals(value, 1), unit))

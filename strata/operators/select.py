@@ -30,9 +30,6 @@ class Box(NamedTuple):
     lon_max: float = 142.0
 
 
-# Fixed value: default number of stations.
-MAX_STATIONS = 200
-
 
 def in_box(df: DataFrame, box: Box, lat: str = "lat", lon: str = "lon") -> DataFrame:
     inside = F.col(lat).between(box.lat_min, box.lat_max)
@@ -124,7 +121,8 @@ def choose_match(
 
     Equal ranks go to the smallest ``position``, or without it to the smallest value. Rows are
     first reduced to distinct values, within each task before the shuffle, and only those are
-    ranked. The single resulting row is used as ``choose_match(...).scalar()``.
+    ranked: the filter on their count is there to keep that step in the plan. The single resulting
+    row is used as ``choose_match(...).scalar()``.
     """
     name = F.col("name")
     named = df.select(F.col(column).alias("name"), F.col(position or column).alias("position"))
@@ -132,7 +130,8 @@ def choose_match(
     if position:
         values = named.groupBy("name").agg(F.min("position").alias("tie"))
     else:
-        values = named.select("name").distinct().withColumn("tie", name)
+        counted = named.groupBy("name").agg(F.count(F.lit(1)).alias("rows"))
+        values = counted.where("rows > 0").withColumn("tie", name)
     best = F.min(F.struct(match_rank(name, preferences), F.col("tie"), name))
     return values.agg(best.getField("name").alias(alias))
 

@@ -10,10 +10,10 @@ from pyspark.sql.types import StringType
 
 from strata import schemas
 from strata.functions.dates import text_to_timestamp, to_second
+from strata.functions.text import snake_name
 from strata.operators.aggregate import data_variables, grid_mean, in_order, in_stable_order
 from strata.operators.reshape import drop_empty_columns, months_to_rows, sheet_to_rows
 from strata.operators.select import (
-    MAX_STATIONS,
     STATION_BYTES,
     Box,
     attach,
@@ -27,9 +27,10 @@ from strata.operators.select import (
     small_side,
 )
 from strata.operators.slots import decode_daily_lines
+from strata.session import shared_folder
 from strata.sinks import write_layer
 from strata.sources.delimited import read_anomaly_csv, read_sheet_csv
-from strata.sources.files import read_selected_files, station_files
+from strata.sources.files import of_files, read_selected_files, require_files, station_files
 from strata.sources.fixed_width import ELEMENTS, inventory_stations, read_stations
 from strata.sources.lines import POSITION, read_lines
 
@@ -52,7 +53,10 @@ def clean_anomalies(wide: DataFrame, *, ordered: bool = True) -> DataFrame:
 
 def clean_carbon(sheet: DataFrame, *, ordered: bool = True) -> DataFrame:
     """Sheet with any metric columns to the long carbon table."""
-    rows = sheet_to_rows(drop_empty_columns(sheet))
+    # Cells without a value are dropped anyway; an empty column matters only where the first one is
+    # taken for the year because no name says so.
+    named = any("year" in snake_name(name) for name in sheet.columns)
+    rows = sheet_to_rows(sheet if named else drop_empty_columns(sheet))
     rows = in_stable_order(rows, "year", "metric") if ordered else rows
     return schemas.conform(rows, schemas.CARBON)
 
@@ -80,10 +84,10 @@ def select_stations(
     inventory_lines: DataFrame,
     *,
     box: Box = Box(),
-    max_stations: int | None = MAX_STATIONS,
+    max_stations: int | None = None,
     elements: Sequence[str] = ELEMENTS,
 ) -> DataFrame:
-    """Stations in the box with a wanted element, the first ``max_stations`` in file order."""
+    """Stations in the box with a wanted element; with ``max_stations`` the first in file order."""
     stations = in_box(read_stations(station_lines, keep=POSITION), box)
     eligible = inventory_stations(inventory_lines, elements)
     known = keep_known(stations, eligible, "station_id")
@@ -92,15 +96,15 @@ def select_stations(
     return last_row_per_key(known, "station_id").drop(*POSITION)
 
 
-def prune_lines(
-    lines: DataFrame, stations: DataFrame, prefix_length: int, prefix: str = "prefix"
-) -> DataFrame:
+def prune_lines(lines: DataFrame, stations: DataFrame, prefix: str = "prefix") -> DataFrame:
     """Lines in folders named after the first characters of a station id, for ``stations`` only.
 
-    ``prefix`` is the folder column; Spark works out the wanted values first and lists and reads
-    only their folders.
+    ``prefix`` is the folder column; its names tell how many characters they have. Spark works out
+    the wanted values first and lists and reads only their folders.
     """
-    wanted = stations.select(F.substring("station_id", 1, prefix_length).alias(prefix)).distinct()
+    widest = lines.select(F.length(prefix).alias("n")).first()
+    length = widest["n"] if widest else 0
+    wanted = stations.select(F.substring("station_id", 1, length).alias(prefix)).distinct()
     return lines.join(small_side(wanted), prefix, "left_semi")
 
 
@@ -147,21 +151,31 @@ def run_daily(
     root: str,
     *,
     box: Box = Box(),
-    max_stations: int | None = MAX_STATIONS,
+    max_stations: int | None = None,
     strict: bool = False,
+    landed: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Station job from files; returns the written table and the stations without a file."""
+    """Station job from files; returns the written table and the stations without a file.
+
+    ``landed`` are the lines of the same files as the raw layer holds them, in folders by prefix;
+    with them only the folders of the selected stations are read.
+    """
     stations = select_stations(
         read_lines(spark, stations_path, position=True),
         read_lines(spark, inventory_path),
         box=box,
         max_stations=max_stations,
     )
+    stations = spark.read.parquet(write_layer(stations, shared_folder(spark, "stations"), "selected"))
     require_rows(stations, "no station matches the box and the inventory")
     ids = stations.select(F.col("station_id").alias("stem"))
     files = keep_known(station_files(spark, roots), ids, "stem")
     missing = keep_missing(ids, files, "stem").withColumnRenamed("stem", "station_id")
-    lines = read_selected_files(spark, files, roots, bound=max_stations)
+    require_files(files)
+    if landed is None:
+        lines = read_selected_files(spark, files, roots)
+    else:
+        lines = of_files(prune_lines(landed, stations), files)
     size = None if max_stations is None else max_stations * STATION_BYTES
     rows = clean_daily(lines, small_side(stations, proven_bytes=size), strict=strict)
     return spark.read.parquet(write_layer(rows, root, DAILY_TABLE)), missing

@@ -8,15 +8,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.text import base_name
+from strata import schemas
 from strata.operators.storage import reconcile
 from strata.sinks import layer_path, write_layer
-from strata.sources.files import first_available, first_place, require_inputs
+from strata.sources.files import first_available, require_inputs
 from strata.sources.lines import read_lines
 
 LINES = "lines"
 FILES = "files"
 
+# Parts that the lines of one prefix are dealt to before they are written.
+PARTS_PER_PREFIX = 16
+
 # Per dataset the places its files may be in, each a root and a file pattern.
 Inputs = Mapping[str, Sequence[tuple[str, str]]]
 
@@ -38,24 +41,29 @@ def land_raw(
 ) -> DataFrame:
     """Land text inputs line by line and list every input file; returns the stored listing.
 
-    Lines are written by the tasks that read them, without a shuffle, so neither a large file nor
-    a large dataset gathers in one task. With ``prefix_length`` the lines are also partitioned by
-    the first characters of the file name, which lets later scans of few stations skip the rest.
+    The inputs are listed once; the stored listing says which files are required, read and later
+    compared. Lines are written by the tasks that read them, without a shuffle, so neither a large
+    file nor a large dataset gathers in one task. With ``prefix_length`` the lines are also
+    partitioned by the first characters of the file name, which lets later scans of few stations
+    skip the rest; they are then dealt by prefix and a few parts of it, so that a folder gets few
+    files and a prefix with most of the lines is still written by several tasks.
     """
-    chosen = {name: [first_place(spark, name, places)] for name, places in inputs.items()}
-    files = list_inputs(spark, chosen)
-    require_inputs(files, required)
+    stored = spark.read.parquet(write_layer(list_inputs(spark, inputs), raw_root, FILES))
+    require_inputs(stored, required)
     partitions = ["dataset", "prefix"] if prefix_length else ["dataset"]
+    places = {row["dataset"]: row for row in stored.select("dataset", "root", "pattern").distinct().collect()}
     texts = []
     for name in text_datasets:
-        [(root, pattern)] = chosen[name]
-        lines = read_lines(spark, root, pattern=pattern, position=True)
+        lines = read_lines(spark, places[name]["root"], pattern=places[name]["pattern"], position=True)
         labels = {"dataset": F.lit(name), "prefix": F.substring("file_name", 1, prefix_length)}
         texts.append(lines.withColumns({column: labels[column] for column in partitions}))
     if texts:
         landed = reduce(DataFrame.unionByName, texts)
+        if prefix_length:
+            part = F.pmod(F.xxhash64("file_path", "row_id"), F.lit(PARTS_PER_PREFIX))
+            landed = landed.repartition("dataset", "prefix", part)
         write_layer(landed, raw_root, LINES, partition_by=partitions)
-    return spark.read.parquet(write_layer(files, raw_root, FILES))
+    return stored.select(*schemas.MANIFEST.fieldNames())
 
 
 def landed_lines(spark: SparkSession, raw_root: str, dataset: str) -> DataFrame:
@@ -65,26 +73,31 @@ def landed_lines(spark: SparkSession, raw_root: str, dataset: str) -> DataFrame:
 
 
 def landed_files(spark: SparkSession, raw_root: str) -> DataFrame:
-    """Stored listing of the text files whose lines were landed."""
+    """Files whose lines were landed, with the number of lines and of bytes that are there.
+
+    Counted on the stored lines themselves, each with its line end.
+    """
     lines = spark.read.parquet(layer_path(raw_root, LINES))
-    with_lines = lines.select(F.col("file_path").alias("path")).distinct()
-    return spark.read.parquet(layer_path(raw_root, FILES)).join(with_lines, "path", "left_semi")
+    sizes = lines.groupBy("dataset", F.col("file_path").alias("path")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("value") + 1).alias("length")
+    )
+    stored = spark.read.parquet(layer_path(raw_root, FILES))
+    return sizes.join(stored.select("dataset", "path", "relative_path"), ["dataset", "path"])
 
 
 def reconcile_landing(files: DataFrame, stored: DataFrame) -> DataFrame:
-    """Input files against landed files, matched by dataset and path below the input root."""
+    """Text files against what was landed of them, by dataset and path below the input root.
+
+    Datasets that were not landed as text are left out, and so are empty files, which have no lines.
+    A file may end without a line end, which makes the landed bytes one more than its size; line ends
+    of two characters are counted as one and show as a difference.
+    """
 
     def keyed(listing: DataFrame) -> DataFrame:
         key = F.concat_ws("/", "dataset", "relative_path").alias("relative_path")
         return listing.select(key, "length")
 
-    return reconcile(keyed(files), keyed(stored))
-
-
-def sheet_names(files: DataFrame) -> DataFrame:
-    """``(position, sheet, path)`` of sheets exported as one file or folder each, by name."""
-    return files.select(
-        F.col("relative_path").alias("position"),
-        F.regexp_replace(base_name("relative_path"), r"\.[^.]+$", "").alias("sheet"),
-        "path",
-    )
+    texts = files.where("length > 0").join(stored.select("dataset").distinct(), "dataset", "left_semi")
+    compared = reconcile(keyed(texts), keyed(stored))
+    open_end = F.col("stored_bytes") - F.col("local_bytes") == 1
+    return compared.withColumn("status", F.when(open_end, "same").otherwise(F.col("status")))

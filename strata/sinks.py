@@ -1,4 +1,8 @@
-"""Writers. Each replaces its target, so running a job twice leaves one copy."""
+"""Writers. Each replaces its target, so running a job twice leaves one copy.
+
+Spark deletes the old files before it writes the new ones: a job that fails leaves no table, and
+running it again makes one.
+"""
 
 from __future__ import annotations
 
@@ -9,9 +13,6 @@ from pyspark.sql import functions as F
 
 from strata.sources.files import manifest
 
-# A table is put into one file only if it is known to have no more rows than this.
-MAX_SINGLE_FILE_ROWS = 1_000_000
-
 
 def layer_path(root: str, dataset: str) -> str:
     return f"{root.rstrip('/')}/{dataset.strip('/')}"
@@ -32,13 +33,12 @@ def publish(df: DataFrame, root: str, dataset: str, **options) -> DataFrame:
     return manifest(df.sparkSession, path, dataset, pattern="*.parquet")
 
 
-def write_single_file(df: DataFrame, path: str, *, max_rows: int = MAX_SINGLE_FILE_ROWS) -> str:
-    """Write Parquet as one file when the row count allows it, else as many files.
+def write_merged(df: DataFrame, path: str) -> str:
+    """Write Parquet in files of the size that adaptive execution aims at: a small table in one.
 
-    Only the counted rows meet in one task; the work before that stays spread.
+    Partitions are merged or split by their measured bytes, in the one run that writes them.
     """
-    small = df.count() <= max_rows
-    (df.repartition(1) if small else df).write.mode("overwrite").parquet(path)
+    df.hint("rebalance").write.mode("overwrite").parquet(path)
     return path
 
 
@@ -52,7 +52,15 @@ def replace_table(df: DataFrame, name: str, *, saved: bool = False) -> DataFrame
 
 
 def write_metrics(metrics: DataFrame, path: str) -> str:
-    """Write the one-row metrics document as JSON; NULL entries are written out."""
-    single = metrics.agg(*[F.first(name).alias(name) for name in metrics.columns])
-    single.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """Write the one-row metrics document as JSON; NULL entries are written out.
+
+    More than one row is an error.
+    """
+    rows = F.count(F.lit(1))
+    several = F.raise_error(F.lit("the metrics document has more than one row")).cast("boolean")
+    single = metrics.agg(
+        *[F.first(name).alias(name) for name in metrics.columns],
+        F.when(rows > 1, several).otherwise(True).alias("_single"),
+    )
+    single.where("_single").drop("_single").write.mode("overwrite").option("ignoreNullFields", "false").json(path)
     return path

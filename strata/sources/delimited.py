@@ -6,11 +6,12 @@ import csv
 from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.functions.text import strip
-from strata.functions.values import required, without_sentinel
+from strata.functions.text import is_blank, plain_path, strip
+from strata.functions.values import without_sentinel
+from strata.operators.select import small_side
 from strata.sources.lines import leading_lines, read_lines, without_blank_lines
 
 # The preamble's opening words and the missing mark of the monthly anomaly file.
@@ -19,10 +20,15 @@ MISSING_MARK = "***"
 
 
 def header_names(line: str) -> list[str]:
-    """Cells of a header line as unique names: blanks get a numbered name, repeats a suffix."""
+    """Cells of a header line as unique names."""
+    return unique_names(next(csv.reader([line])))
+
+
+def unique_names(cells: Sequence[str]) -> list[str]:
+    """Blanks get a numbered name, repeats a suffix."""
     names = []
     seen: Counter = Counter()
-    for index, cell in enumerate(next(csv.reader([line]))):
+    for index, cell in enumerate(cells):
         name = cell.strip() or f"Unnamed: {index}"
         names.append(f"{name}.{seen[name]}" if seen[name] else name)
         seen[name] += 1
@@ -36,24 +42,42 @@ def parse_cells(lines: DataFrame, names: Sequence[str]) -> DataFrame:
     return lines.select(cells.alias("cells")).select("cells.*").toDF(*names)
 
 
+def leading_rows(rows: DataFrame, count: int) -> DataFrame:
+    """The first ``count`` rows of each file, numbered from 1 as ``line``. Only the start of a file is looked at, and tasks keep ``count`` rows a file.
+    """
+    in_file = Window.partitionBy("file_path").orderBy("block_start", "row_id")
+    numbered = rows.where(F.col("block_start") == 0).withColumn("line", F.row_number().over(in_file))
+    return numbered.where(F.col("line") <= count)
+
+
+def without_rows(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Rows other than ``dropped``, told apart by where they stand and not by what they say."""
+    place = ["file_path", "row_id"]
+    return rows.join(small_side(dropped.select(*place)), place, "left_anti")
+
+
 def read_anomaly_csv(
     spark: SparkSession, paths: str | Sequence[str], *, preamble: str = PREAMBLE
 ) -> DataFrame:
     """Wide monthly table: preamble and blank lines dropped, header resolved, cells as text.
 
-    A folder may hold many files, each with its own preamble and header line; the headers must
-    be equal.
+    A file's first line is dropped if it starts with the preamble, and the line after that is the
+    header; the same words further down are data. A folder may hold many files, each with its own
+    preamble and header line; the headers must be equal.
     """
     lines = without_blank_lines(read_lines(spark, paths, position=True))
-    lines = lines.where(~F.startswith(F.col("value"), F.lit(preamble)))
-    head = leading_lines(lines, 1)
+    leading = leading_rows(lines, 2)
+    first = F.min(F.when(F.col("line") == 1, F.col("value"))).over(Window.partitionBy("file_path"))
+    opened = first.startswith(F.lit(preamble))
+    leading = leading.withColumn("header_line", F.when(opened, 2).otherwise(1))
+    headers = leading.where("line = header_line").select(strip("value").alias("value")).distinct()
+    head = [row["value"] for row in headers.limit(2).collect()]
     if not head:
         raise ValueError(f"no header line in {paths}")
-    names = header_names(head[0])
-    rows = parse_cells(lines.where(F.col("value") != head[0]), names)
-    first = F.col(f"`{names[0]}`")
-    checked = required(first, strip(first) == names[0], "files disagree on the header line")
-    return rows.withColumn(names[0], checked)
+    if len(head) > 1:
+        raise ValueError(f"files disagree on the header line: {head}")
+    rows = without_rows(lines, leading.where("line <= header_line"))
+    return parse_cells(rows, header_names(head[0]))
 
 
 def missing_marks_to_null(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -62,13 +86,41 @@ def missing_marks_to_null(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.withColumns(marked)
 
 
+def _leading_records(lines: DataFrame, count: int) -> list[list[str]]:
+    """The first records of one file; a quoted cell may go over several lines."""
+    taken = 4 * count
+    while True:
+        text = leading_lines(lines, taken)
+        records = [r for r in csv.reader(f"{line}\n" for line in text) if r[1:] or "".join(r).strip()]
+        # The last record may go on behind the lines taken, unless there are no more of them.
+        if len(records) > count or len(text) < taken:
+            return records[:count]
+        taken *= 2
+
+
 def read_sheet_csv(
     spark: SparkSession, paths: str | Sequence[str], *, header_row: int = 0
 ) -> DataFrame:
-    """One sheet exported as CSV; ``header_row`` rows of text above the header are dropped."""
-    lines = without_blank_lines(read_lines(spark, paths, position=True))
-    head = leading_lines(lines, header_row + 1)
+    """One sheet exported as CSV; ``header_row`` rows of text above the header are dropped.
+
+    Cells and header names may hold line breaks within quotes, so a file is one task's work, as a
+    sheet is small. Title rows and header are dropped by their place in the file.
+    """
+    head = _leading_records(read_lines(spark, paths, position=True), header_row + 1)
     if len(head) <= header_row:
         raise ValueError(f"no header row {header_row} in {paths}")
-    rows = lines.where(~F.col("value").isin(head))
-    return parse_cells(rows, header_names(head[header_row]))
+    names = unique_names(head[header_row])
+    cells = [f"_c{index}" for index in range(len(names))]
+    reader = spark.read.schema(", ".join(f"{cell} string" for cell in cells))
+    rows = reader.options(multiLine=True, escape='"', recursiveFileLookup=True).csv(paths)
+    rows = rows.select(
+        *cells,
+        plain_path("_metadata.file_path").alias("file_path"),
+        F.lit(0).alias("block_start"),
+        F.monotonically_increasing_id().alias("row_id"),
+    )
+    # A blank line has white space in its first cell and no others; an empty cell reads as NULL.
+    others = F.coalesce(*cells[1:], F.lit(None).cast("string"))
+    rows = rows.where(~(F.col(cells[0]).isNotNull() & is_blank(cells[0]) & others.isNull()))
+    dropped = leading_rows(rows, header_row + 1)
+    return without_rows(rows, dropped).select(*cells).toDF(*names)

@@ -9,23 +9,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas
-from strata.functions.text import file_stem
+from strata.functions.text import file_stem, plain_path
 from strata.sources.lines import read_lines
 
-# Above this many selected files their paths are joined instead of listed in the plan.
-MAX_LISTED_FILES = 10_000
-
 
 def manifest(
     spark: SparkSession, root: str, dataset: str, *, pattern: str = "*", recursive: bool = True
 ) -> DataFrame:
-    """Path, size and time of every file below ``root``; file contents are not read."""
+    """Path, size and time of every file below ``root``; file contents are not read.
+
+    Spark makes no row of an empty file, so the empty ones are those that only the file index has;
+    their time is not known.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", str(recursive).lower())
         .load(root)
+        .select("path", "length", "modificationTime")
     )
+    indexed = spark.createDataFrame([(path,) for path in files.inputFiles()], "indexed string")
+    # The index writes an empty host as three slashes, the rows write one.
+    plain = F.regexp_replace(plain_path("indexed"), "^([a-z0-9]+):///", "$1:/")
+    indexed = indexed.select(plain.alias("path"))
+    empty = indexed.join(files.select("path"), "path", "left_anti")
+    files = files.unionByName(empty.withColumn("length", F.lit(0).cast("long")), allowMissingColumns=True)
     below = root.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
     start = F.locate(below, F.col("path")) + F.lit(len(below))
     relative = F.col("path").substr(start, F.length("path"))
@@ -49,26 +57,22 @@ def manifest_if_present(spark: SparkSession, root: str, dataset: str, **options)
         return spark.createDataFrame([], schemas.MANIFEST)
 
 
-def first_place(
+def first_available(
     spark: SparkSession, dataset: str, candidates: Iterable[tuple[str, str]]
-) -> tuple[str, str]:
-    """The first ``(root, pattern)`` that has files, for example loose files before packed ones."""
+) -> DataFrame:
+    """Listing of the files in the first ``(root, pattern)`` that has any, with that place.
+
+    For example loose files before packed ones. Each place is listed once.
+    """
     tried = []
     for root, pattern in candidates:
-        if not manifest_if_present(spark, root, dataset, pattern=pattern).isEmpty():
-            return root, pattern
+        files = manifest_if_present(spark, root, dataset, pattern=pattern)
+        if not files.isEmpty():
+            return files.withColumns({"root": F.lit(root), "pattern": F.lit(pattern)})
         tried.append(f"{root}/{pattern}")
     raise FileNotFoundError(f"no files for {dataset} in {', '.join(tried)}")
 
 
-def first_available(
-    spark: SparkSession, dataset: str, candidates: Iterable[tuple[str, str]]
-) -> DataFrame:
-    """Listing of the files in the first place that has any."""
-    root, pattern = first_place(spark, dataset, candidates)
-    return manifest(spark, root, dataset, pattern=pattern)
-
-
 def missing_inputs(files: DataFrame, expected: DataFrame, key: str = "relative_path") -> DataFrame:
     """Expected names that have no file."""
     return expected.join(files.select(key).distinct(), key, "left_anti")
@@ -101,26 +105,29 @@ def station_files(spark: SparkSession, roots: Sequence[str], pattern: str = "*.d
     return preferred_files(found)
 
 
-def read_selected_files(
-    spark: SparkSession, files: DataFrame, roots: Sequence[str], *, bound: int | None
-) -> DataFrame:
+def require_files(files: DataFrame) -> None:
+    if files.isEmpty():
+        raise FileNotFoundError("no data files for the selected stations")
+
+
+def read_selected_files(spark: SparkSession, files: DataFrame, roots: Sequence[str]) -> DataFrame:
     """Lines of the files in ``files``, with ``file_stem``.
 
-    ``bound`` is a proven limit on the number of files, such as a station cap. Within
-    ``MAX_LISTED_FILES`` the paths go into the scan, so no other file is opened. Without it the
-    roots are read whole and lines of other files are filtered by a join on the path.
+    The roots are read whole and lines of other files are left out by a join on the path, whatever
+    the number of files. Where few of many files are wanted, landed lines are the better source:
+    they lie in folders by prefix, of which only the wanted ones are read.
     """
-    if bound is not None and bound <= MAX_LISTED_FILES:
-        paths = [row["path"] for row in files.select("path").collect()]
-        if not paths:
-            raise FileNotFoundError("no data files for the selected stations")
-        lines = read_lines(spark, paths)
-    else:
-        present = [
-            root
-            for root in roots
-            if not manifest_if_present(spark, root, "daily", recursive=False).isEmpty()
-        ]
-        every = read_lines(spark, present, recursive=False)
-        lines = every.join(files.select(F.col("path").alias("file_path")), "file_path", "left_semi")
+    present = [
+        root
+        for root in roots
+        if not manifest_if_present(spark, root, "daily", recursive=False).isEmpty()
+    ]
+    lines = read_lines(spark, present, recursive=False)
+    return of_files(lines, files)
+
+
+def of_files(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """The lines that come from ``files``, with ``file_stem``."""
+    chosen = files.select(F.col("path").alias("file_path"))
+    lines = lines.join(chosen, "file_path", "left_semi")
     return lines.withColumn("file_stem", file_stem("file_name"))

@@ -88,6 +88,16 @@ def test_number_formats(spark):
     assert evaluate(spark, raw, text.four_decimals("x"), "double") == ["11320.3176", "0.0312", "0.5000", "n/a"]
 
 
+def test_number_formats_at_decimal_ties(spark):
+    """Python's own formatting rounds the stored binary value."""
+    raw = [2.675, 0.12345, 0.00005, 1.005, 0.125, 0.375, -2.5, -0.00001, 1e15 / 3, 4.5e15, 1e13 / 7, 0.0, 2.0**52 / 100]
+    raw += [random.Random(1).randrange(10**7) / 10**k for k in range(1, 7) for _ in range(50)]
+    drawn = random.Random(2)
+    raw += [drawn.randrange(10**6) / 1000 + 0.0005 for _ in range(500)] + [drawn.random() * 10**drawn.randint(-6, 11) for _ in range(500)]
+    for digits in (1, 2, 4):
+        assert evaluate(spark, raw, text.exact_decimals("x", digits), "double") == [f"{x:.{digits}f}" for x in raw]
+
+
 def test_paths(spark):
     raw = ["a/b/c.tar.gz", "s3a://x/USC1.dly", "plain", "a/.hidden", "a/b.", "dir/"]
     assert evaluate(spark, raw, text.base_name("x")) == ["c.tar.gz", "USC1.dly", "plain", ".hidden", "b.", ""]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.select import Box
 from strata.plans import aggregated, cleaned, evaluation, flat, landing
-from strata.sinks import layer_path, publish, replace_table, write_layer, write_single_file
+from strata.sinks import layer_path, publish, replace_table, write_layer, write_merged, write_metrics
 from strata.sources import delimited
 from strata.sources.files import manifest
 from strata.sources.lines import read_lines
@@ -86,13 +86,13 @@ def build_silver(spark, raw, root):
     cleaned.run_grid(grid_cells(spark), root)
 
 
-def run_daily(spark, raw, root, **options):
+def run_daily(spark, raw, root, *, roots=None, **options):
     noaa = raw / "noaa"
     return cleaned.run_daily(
         spark,
         str(noaa / "stations.txt"),
         str(noaa / "inventory.txt"),
-        [str(noaa / "all"), str(noaa / "all" / "all")],
+        roots or [str(noaa / "all"), str(noaa / "all" / "all")],
         root,
         **options,
     )
@@ -156,6 +156,13 @@ def test_daily_job_without_a_cap(spark, raw, tmp_path):
     assert got.count() == 3
 
 
+def test_daily_job_without_files(spark, raw, tmp_path):
+    """An error with and without a cap, from files and from landed lines."""
+    for cap in (None, 4, 20_000):
+        with pytest.raises(FileNotFoundError, match="no data files"):
+            run_daily(spark, raw, str(tmp_path / "silver"), max_stations=cap, roots=[str(tmp_path / "none")])
+
+
 def test_daily_job_without_stations(spark, raw, tmp_path):
     with pytest.raises(ValueError, match="no station"):
         run_daily(spark, raw, str(tmp_path / "silver"), box=Box(60, 61, 0, 1))
@@ -167,7 +174,7 @@ def test_lines_in_folders_of_other_stations_are_not_read(spark, tmp_path):
     lines.select("value", prefix).write.partitionBy("prefix").text(str(tmp_path / "d"))
     stored = spark.read.schema("value string, prefix string").text(str(tmp_path / "d"))
     stations = spark.createDataFrame([("S1",), ("S12",)], "station_id string").where("station_id <> ''")
-    pruned = cleaned.prune_lines(stored, stations, 2)
+    pruned = cleaned.prune_lines(stored, stations)
     assert {r["prefix"] for r in pruned.collect()} == {"S1"}
     assert "dynamicpruning" in pruned._jdf.queryExecution().toString()
 
@@ -239,6 +246,12 @@ def test_landing_and_its_reconciliation(spark, raw, tmp_path):
         landing.list_inputs(spark, inputs), landing.landed_files(spark, root)
     )
     assert {r["status"]: r["count"] for r in checked.groupBy("status").count().collect()} == {"same": 5, "only_local": 1}
+    (raw / "noaa" / "all" / "ST000000009.dly").write_text("")
+    (raw / "other.xlsx").write_text("not text")
+    more = inputs | {"other": [(str(raw), "*.xlsx")]}
+    landing.land_raw(spark, more, root, text_datasets=list(inputs))
+    checked = landing.reconcile_landing(landing.list_inputs(spark, more), landing.landed_files(spark, root))
+    assert {r["status"] for r in checked.collect()} == {"same"}
     with pytest.raises(FileNotFoundError, match="absent"):
         landing.land_raw(spark, inputs, root, text_datasets=[], required=["absent"])
 
@@ -294,13 +307,13 @@ def test_evaluation_and_report(spark, raw, tmp_path):
 
 def test_report_of_published_numbers(spark, tmp_path):
     path = tmp_path / "metrics.json"
-    quality = {"nasa": {"raw_score": 0.9948979591836735, "silver_score": 0.9948979591836735}}
+    quality = {"nasa": {"raw_score": 0.8765432109876543, "silver_score": 0.8765432109876543}}
     path.write_text(
         json.dumps(
             {
-                "latency_seconds": {"medallion_query": 0.00679473499985761},
+                "latency_seconds": {"medallion_query": 0.01239473499985761},
                 "storage_human": {"bronze": "30.8GB"},
-                "compression_ratio": {"bronze_to_silver": 11320.317642496002, "silver_to_gold": None},
+                "compression_ratio": {"bronze_to_silver": 2048.317642496002, "silver_to_gold": None},
                 "data_quality": quality,
             },
             indent=2,
@@ -309,20 +322,20 @@ def test_report_of_published_numbers(spark, tmp_path):
     got = [tuple(r) for r in evaluation.run_report(spark, str(path)).orderBy("position").collect()]
     assert len(got) == 13
     values = {label: (value, silver) for _, _, label, value, silver in got}
-    assert values["Medallion query latency (s)"] == ("0.0068", None)
+    assert values["Medallion query latency (s)"] == ("0.0124", None)
     assert values["Bronze size"] == ("30.8GB", None) and values["Gold size"] == ("n/a", None)
-    assert values["Compression Bronze→Silver"] == ("11320.32x", None)
-    assert values["NASA"] == ("0.9949", "0.9949") and values["Overall"] == ("n/a", "n/a")
+    assert values["Compression Bronze→Silver"] == ("2048.32x", None)
+    assert values["NASA"] == ("0.8765", "0.8765") and values["Overall"] == ("n/a", "n/a")
 
 
 def test_sinks(spark, tmp_path):
     df = spark.range(10).withColumnRenamed("id", "k")
     files = publish(df, str(tmp_path), "a/b")
     assert files.count() == publish(df, str(tmp_path), "a/b").count()
-    one = write_single_file(df, str(tmp_path / "one"))
-    many = write_single_file(df, str(tmp_path / "many"), max_rows=9)
-    listing = [manifest(spark, p, "x", pattern="*.parquet").count() for p in (one, many)]
-    assert listing[0] == 1 and listing[1] > 1
+    merged = write_merged(df, str(tmp_path / "one"))
+    assert manifest(spark, merged, "x", pattern="*.parquet").count() == 1
+    with pytest.raises(Exception, match="more than one row"):
+        write_metrics(df, str(tmp_path / "metrics"))
     assert replace_table(df, "numbers").count() == 10
     replace_table(df, "saved_numbers", saved=True)
     assert replace_table(df, "saved_numbers", saved=True).count() == 10

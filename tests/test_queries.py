@@ -8,10 +8,11 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from strata.operators.select import choose_match
+from workload import ORACLE, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+SQL = ORACLE
 
 # Operators that would make Python, a cross join or one task the bottleneck.
 UNWANTED = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas")
@@ -37,7 +38,16 @@ def test_query(spark, connection, name):
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries()) and set(QUERIES) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("position", [None, "event_id"])
+def test_only_distinct_names_are_ranked(spark, position):
+    """The names are counted by a hash aggregate before any of them is compared."""
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    chosen = choose_match(events, "event_type", ["purch", "view"], position=position)
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[name" in plan and "HashAggregate(keys=[name" in plan.split("CASE WHEN")[-1]
 
 
 def test_entry(spark):

@@ -77,14 +77,15 @@ def test_position_is_file_order_when_files_are_split(spark, tmp_path, settings):
 
 
 def test_manifest_lists_names_as_they_are(spark, tmp_path):
-    for name in ("a b.dly", "x+y.dly", "sub/c.dly", "other.txt"):
+    for name in ("a b.dly", "x+y.dly", "sub/c.dly", "other.txt", "sub/n%ne.dly"):
         path = tmp_path / name
         path.parent.mkdir(exist_ok=True)
-        path.write_text("12345\n")
+        path.write_text("" if "%" in name else "12345\n")
     listed = files.manifest(spark, str(tmp_path), "d", pattern="*.dly").collect()
     assert sorted((r["relative_path"], r["length"]) for r in listed) == [
         ("a b.dly", 6),
         ("sub/c.dly", 6),
+        ("sub/n%ne.dly", 0),
         ("x+y.dly", 6),
     ]
 
@@ -92,7 +93,7 @@ def test_manifest_lists_names_as_they_are(spark, tmp_path):
 def test_first_place_and_required_inputs(spark, tmp_path):
     (tmp_path / "z.zip").write_text("z")
     places = [(str(tmp_path / "none"), "*"), (str(tmp_path), "*.nc"), (str(tmp_path), "*.zip")]
-    assert files.first_place(spark, "grid", places) == places[2]
+    assert files.first_available(spark, "grid", places).first()["pattern"] == "*.zip"
     with pytest.raises(FileNotFoundError, match="grid"):
         files.first_available(spark, "grid", places[:2])
     listing = files.manifest(spark, str(tmp_path), "d")
@@ -101,8 +102,7 @@ def test_first_place_and_required_inputs(spark, tmp_path):
         files.require_inputs(listing, ["z.zip", "a.csv"])
 
 
-@pytest.mark.parametrize("bound", [10, None])
-def test_selected_files_prefer_the_first_root(spark, tmp_path, bound):
+def test_selected_files_prefer_the_first_root(spark, tmp_path):
     outer, inner = tmp_path / "all", tmp_path / "all" / "all"
     inner.mkdir(parents=True)
     (outer / "S 1.dly").write_text("outer\n")
@@ -111,16 +111,36 @@ def test_selected_files_prefer_the_first_root(spark, tmp_path, bound):
     (inner / "S3.dly").write_text("three\n")
     roots = [str(outer), str(inner), str(tmp_path / "absent")]
     found = files.station_files(spark, roots).where(F.col("stem") != "S3")
-    got = files.read_selected_files(spark, found, roots, bound=bound).collect()
+    got = files.read_selected_files(spark, found, roots).collect()
     assert sorted((r["value"], r["file_stem"]) for r in got) == [("outer", "S 1"), ("two", "S2")]
 
 
-def test_only_selected_files_are_opened(spark, tmp_path):
-    for i in range(5):
-        (tmp_path / f"S{i}.dly").write_text("x\n")
-    chosen = files.station_files(spark, [str(tmp_path)]).where(F.col("stem") == "S3")
-    read = files.read_selected_files(spark, chosen, [str(tmp_path)], bound=5)
-    assert len(read.inputFiles()) == 1
+def test_an_empty_choice_of_files_is_an_error(spark, tmp_path):
+    (tmp_path / "S1.dly").write_text("x\n")
+    chosen = files.station_files(spark, [str(tmp_path)])
+    files.require_files(chosen)
+    with pytest.raises(FileNotFoundError, match="no data files"):
+        files.require_files(chosen.where("stem = 'S2'"))
+
+
+def test_preamble_and_header_go_by_place(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\nLand-Ocean: x\n \nYear,Jan\nYear,1\nLand-Ocean: y,2\n2000,3\n")
+    (tmp_path / "b.csv").write_text("Year,Jan\n2001,4\n\n2001,4\n")
+    got = delimited.read_anomaly_csv(spark, str(tmp_path))
+    rows = [("2000", "3"), ("2001", "4"), ("2001", "4"), ("Land-Ocean: y", "2"), ("Year", "1")]
+    assert got.columns == ["Year", "Jan"] and sorted(tuple(r) for r in got.collect()) == rows
+    (tmp_path / "c.csv").write_text("Year,Feb\n2002,5\n")
+    with pytest.raises(ValueError, match="disagree"):
+        delimited.read_anomaly_csv(spark, str(tmp_path))
+
+
+def test_sheet_cells_with_line_breaks(spark, tmp_path):
+    (tmp_path / "s.csv").write_text(
+        '2000,1,2\n\n"Year","Fossil\n\nfuel ""x""\n(urgent)",Low\n2000,1,2\n2001,"3\n4",\n , ,\n"Year",y,z\n'
+    )
+    got = delimited.read_sheet_csv(spark, str(tmp_path / "s.csv"), header_row=1)
+    assert got.columns == ["Year", 'Fossil\n\nfuel "x"\n(urgent)', "Low"]
+    assert [tuple(r) for r in got.collect()] == [("2000", "1", "2"), ("2001", "3\n4", None), (" ", " ", None), ("Year", "y", "z")]
 
 
 def test_tables(spark, tmp_path):

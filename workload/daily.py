@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from strata.functions.text import between_positions
 from strata.operators.select import (
-    STATION_BYTES,
     Box,
     attach,
     in_box,
@@ -15,10 +14,10 @@ from strata.operators.select import (
     small_side,
 )
 from strata.operators.slots import count_slots, decode_daily_lines
-from strata.plans.cleaned import clean_daily, prune_lines, select_stations
+from strata.plans.cleaned import clean_daily, prune_lines, run_daily, select_stations
 from strata.plans.flat import flat_daily as flat_daily_table
+from strata.plans.landing import land_raw, landed_lines
 from strata.session import shared_folder
-from strata.sinks import write_layer
 from strata.sources.files import preferred_files
 from strata.sources.fixed_width import inventory_stations, read_stations
 from strata.sources.lines import POSITION, read_lines
@@ -26,7 +25,8 @@ from workload import shapes
 from workload.registry import query
 from workload.shapes import CUSTOMER_STATIONS, DAILY_SQL, SUPPLIER_STATIONS, station_sql, table
 
-MAX_SUPPLIERS = 30
+# Fixed value: how many stations the published selection takes.
+FIRST_STATIONS = 200
 PREFIX_LENGTH = 9
 
 
@@ -35,12 +35,12 @@ def _lines(spark, sf_dir, source, columns):
     return shapes.station_lines(table(spark, sf_dir, source), key, name, nation, prefix)
 
 
-def _selected_sql(source: str, columns: tuple, balance: str, count: int) -> str:
+def _selected_sql(source: str, columns: tuple, balance: str, limit: str = "") -> str:
     return f"""
         SELECT s.station_id, s.lat, s.lon, s.elevation, s.name
         FROM ({station_sql(source, *columns)}) s JOIN {source} t ON t.{columns[0]} = s.k
         WHERE lat BETWEEN -11 AND 28 AND lon BETWEEN 90 AND 142 AND {balance} >= 0
-        ORDER BY s.k LIMIT {count}
+        {limit}
     """
 
 
@@ -82,12 +82,13 @@ def stations_in_box(spark, sf_dir):
     return in_box(stations, Box(0.0, 10.0, 90.0, 100.0)).select("station_id", "lat", "lon")
 
 
-@query(_selected_sql("customer", CUSTOMER_STATIONS, "c_acctbal", 200))
+@query(_selected_sql("customer", CUSTOMER_STATIONS, "c_acctbal", f"ORDER BY s.k LIMIT {FIRST_STATIONS}"))
 def bbox_semi_topn(spark, sf_dir):
     """The first 200 stations in file order that are in the box and in the inventory."""
     customers = table(spark, sf_dir, "customer")
     inventory = shapes.inventory_lines(customers, "c_custkey", "c_acctbal", "CU")
-    return select_stations(_lines(spark, sf_dir, "customer", CUSTOMER_STATIONS), inventory)
+    lines = _lines(spark, sf_dir, "customer", CUSTOMER_STATIONS)
+    return select_stations(lines, inventory, max_stations=FIRST_STATIONS)
 
 
 @query(f"""
@@ -129,7 +130,7 @@ def daily_slot_counts(spark, sf_dir):
 
 STATION_DAILY_SQL = f"""
     WITH {DAILY_SQL},
-    selected AS ({_selected_sql('supplier', SUPPLIER_STATIONS, 's_acctbal', MAX_SUPPLIERS)})
+    selected AS ({_selected_sql('supplier', SUPPLIER_STATIONS, 's_acctbal')})
     SELECT k.station_id, k.date, k.element, k.value, s.lat, s.lon, s.elevation, s.name,
            CASE WHEN k.trace THEN 'T' END AS mflag, CAST(NULL AS VARCHAR) AS qflag, 'S' AS sflag
     FROM kept k JOIN selected s ON s.station_id = k.station_id
@@ -141,14 +142,13 @@ def _selected_suppliers(spark, sf_dir):
     return select_stations(
         _lines(spark, sf_dir, "supplier", SUPPLIER_STATIONS),
         shapes.inventory_lines(suppliers, "s_suppkey", "s_acctbal", "SU"),
-        max_stations=MAX_SUPPLIERS,
     )
 
 
 @query(STATION_DAILY_SQL)
 def station_daily(spark, sf_dir):
     """Selected stations, their daily lines decoded, attributes attached."""
-    stations = small_side(_selected_suppliers(spark, sf_dir), proven_bytes=MAX_SUPPLIERS * STATION_BYTES)
+    stations = small_side(_selected_suppliers(spark, sf_dir))
     return clean_daily(shapes.daily_lines(spark, sf_dir), stations)
 
 
@@ -168,12 +168,67 @@ def station_daily_from_files(spark, sf_dir):
     stations = select_stations(
         read_lines(spark, f"{root}/stations", position=True),
         read_lines(spark, f"{root}/inventory"),
-        max_stations=MAX_SUPPLIERS,
     )
     lines = spark.read.schema("value string, prefix string").text(f"{root}/daily")
-    lines = prune_lines(lines, stations, PREFIX_LENGTH)
+    lines = prune_lines(lines, stations)
     lines = lines.withColumn("file_stem", between_positions("value", 0, 11))
-    return clean_daily(lines, small_side(stations, proven_bytes=MAX_SUPPLIERS * STATION_BYTES))
+    return clean_daily(lines, small_side(stations))
+
+
+# One file per supplier, named after the supplier twice as far on, whose lines keep their own id. Of
+# seven suppliers one has no file, one has a file in both folders and two in the second one only.
+FILE_OF = "k // 2 * 2 + (1 - k % 2)"
+JOB_SQL = f"""
+    {STATION_DAILY_SQL.split('SELECT k.station_id')[0].rstrip()},
+    files AS (
+        SELECT 'SU' || lpad(CAST({FILE_OF} AS VARCHAR), 9, '0') AS stem,
+               'SU' || lpad(CAST(k AS VARCHAR), 9, '0') AS station_id
+        FROM (SELECT s_suppkey AS k FROM supplier) WHERE k % 7 <> 0
+    )
+"""
+
+
+def _station_job(spark, sf_dir):
+    """Lists, daily files in two folders and the landed lines of the same files; the job on them."""
+    root = shared_folder(spark, "station-job")
+    suppliers = table(spark, sf_dir, "supplier")
+    station_lines = _lines(spark, sf_dir, "supplier", SUPPLIER_STATIONS)
+    station_lines.orderBy("row_id").select("value").write.text(f"{root}/stations")
+    inventory = shapes.inventory_lines(suppliers, "s_suppkey", "s_acctbal", "SU")
+    inventory.write.text(f"{root}/inventory")
+    key = F.substring("file_stem", 3, 9).cast("long")
+    named = shapes.daily_lines(spark, sf_dir).withColumn("k", key).where("k % 7 <> 0")
+    stem = F.concat(F.lit("SU"), F.lpad(F.expr(FILE_OF.replace("//", "div")).cast("string"), 9, "0"))
+    named = named.withColumn("stem", stem)
+    shapes.write_named_files(named.where("k % 7 not in (2, 3)"), f"{root}/daily/all", ".dly")
+    shapes.write_named_files(named.where("k % 7 in (2, 3)"), f"{root}/daily/all/all", ".dly")
+    wrong = named.where("k % 7 = 1").withColumn("value", F.concat(F.substring("value", 1, 17), F.lit("SNOW")))
+    shapes.write_named_files(wrong, f"{root}/daily/all/all", ".dly")
+    folders = [f"{root}/daily/all", f"{root}/daily/all/all", f"{root}/daily/none"]
+    inputs = {"daily": [(f"{root}/daily", "*.zip"), (f"{root}/daily", "*.dly")]}
+    land_raw(spark, inputs, f"{root}/bronze", text_datasets=["daily"], prefix_length=PREFIX_LENGTH)
+    landed = landed_lines(spark, f"{root}/bronze", "daily")
+    lists = f"{root}/stations", f"{root}/inventory"
+    return run_daily(spark, *lists, folders, f"{root}/silver", landed=landed)
+
+
+@query(f"""
+    {JOB_SQL}
+    SELECT k.station_id, k.date, k.element, k.value, s.lat, s.lon, s.elevation, s.name,
+           CASE WHEN k.trace THEN 'T' END AS mflag, CAST(NULL AS VARCHAR) AS qflag, 'S' AS sflag
+    FROM kept k JOIN files f ON f.station_id = k.station_id JOIN selected s ON s.station_id = f.stem
+""")
+def station_job(spark, sf_dir):
+    """The station job: attributes by the file's name, ids from the lines, the first folder first."""
+    return _station_job(spark, sf_dir)[0]
+
+
+@query(f"""
+    {JOB_SQL}
+    SELECT station_id FROM selected WHERE station_id NOT IN (SELECT stem FROM files)
+""")
+def stations_without_file(spark, sf_dir):
+    return _station_job(spark, sf_dir)[1]
 
 
 @query(f"""
@@ -216,10 +271,8 @@ def lookup_join(spark, sf_dir):
         F.col("o_orderkey").alias("row_id"),
     )
     last = last_row_per_key(rows, "customer").drop(*POSITION)
-    root = shared_folder(spark, "lookup")
-    attributes = spark.read.parquet(write_layer(last, root, "attributes"))
     events = table(spark, sf_dir, "events").select("event_id", "user_id")
-    return attach(events, small_side(attributes), "user_id", "customer")
+    return attach(events, last, "user_id", "customer")
 
 
 @query("""

@@ -118,17 +118,21 @@ def human_sizes(spark, sf_dir):
 
 
 @query("""
-    SELECT o_orderkey, printf('%.4f', o_totalprice) AS price,
+    SELECT o_orderkey, printf('%.4f', o_totalprice / 1000) AS price,
            CASE WHEN o_orderstatus = 'P' THEN 'n/a'
-                ELSE printf('%.2fx', o_custkey / 8.0::DOUBLE) END AS ratio
+                ELSE printf('%.2fx', o_totalprice / 1000) END AS ratio,
+           printf('%.2fx', o_custkey / 8.0::DOUBLE) AS eighths
     FROM orders
 """)
 def formatted_numbers(spark, sf_dir):
+    """Thousandths end in a decimal tie in many rows, eighths in a binary one."""
     ratio = values.ratio(
-        F.col("o_custkey"), F.when(F.col("o_orderstatus") == "P", 0).otherwise(8)
+        F.col("o_totalprice"), F.when(F.col("o_orderstatus") == "P", 0).otherwise(1000)
     )
+    eighths = values.ratio(F.col("o_custkey"), F.lit(8))
     return table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        text.four_decimals("o_totalprice").alias("price"),
+        text.four_decimals(F.col("o_totalprice") / 1000).alias("price"),
         text.ratio_text(ratio).alias("ratio"),
+        text.ratio_text(eighths).alias("eighths"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.functions.dates import MONTH_LABELS, month_number
+from strata.functions.dates import MONTH_LABELS, MONTH_NAMES, month_number
 from strata.functions.text import base_name, contains_any_case, file_stem, snake_case, zero_padded
 from strata.operators.reshape import (
     drop_empty_columns,
@@ -64,11 +64,10 @@ def unpivot_dynamic_dropnull(spark, sf_dir):
 
 @query(SHEET_SQL)
 def carbon_sheet_job(spark, sf_dir):
-    """The sheet exported as CSV files, each with a header line, cleaned and stored."""
+    """The sheet exported as CSV files, cleaned and stored; one name has a line break in it."""
     sheet = shapes.sheet(spark, sf_dir)
     root = shared_folder(spark, "sheet")
-    export = sheet.toDF(*[name.replace("\n", " ") for name in sheet.columns])
-    export.write.option("header", True).csv(f"{root}/in")
+    sheet.write.option("header", True).csv(f"{root}/in")
     return run_carbon(spark, f"{root}/in", f"{root}/silver")
 
 
@@ -87,19 +86,42 @@ def anomaly_csv_job(spark, sf_dir):
 
 @query(f"""
     WITH {WIDE_LONG_SQL}
-    SELECT CAST(y AS VARCHAR) AS year, max(v) FILTER (m = 1) AS jan, max(v) FILTER (m = 12) AS dec
+    SELECT CAST(y AS VARCHAR) AS year, %s
     FROM cells GROUP BY o_custkey, y
-""")
+""" % ", ".join(f"max(v) FILTER (m = {m}) AS {n.lower()}" for m, n in enumerate(MONTH_NAMES, 1)))
 def raw_wide_csv(spark, sf_dir):
     """The raw wide table as read from CSV, missing marks as NULL."""
     root = shared_folder(spark, "raw-wide")
     shapes.wide_months(spark, sf_dir).write.option("header", True).csv(f"{root}/in")
-    wide = missing_marks_to_null(read_anomaly_csv(spark, f"{root}/in"), ["Jan", "Dec"])
-    return wide.select(
-        F.col("Year").alias("year"),
-        F.col("Jan").cast("double").alias("jan"),
-        F.col("Dec").cast("double").alias("dec"),
+    wide = missing_marks_to_null(read_anomaly_csv(spark, f"{root}/in"), MONTH_NAMES)
+    months = [F.col(name).cast("double").alias(name.lower()) for name in MONTH_NAMES]
+    return wide.select(F.col("Year").alias("year"), *months)
+
+
+@query("""
+    SELECT o_orderstatus AS status, o_orderkey AS k FROM orders WHERE o_orderkey >= 8
+    UNION ALL SELECT 'Land-Ocean: again', o_orderkey FROM orders WHERE o_orderkey < 8
+    UNION ALL SELECT 'Status', 0 FROM orders WHERE o_orderkey = 8
+    UNION ALL SELECT 'Status', -1 FROM orders WHERE o_orderkey = 8
+""")
+def preamble_by_place(spark, sf_dir):
+    """Two files, one with a preamble. Blank lines, a later line that opens like the preamble and
+    rows with the words of the header stand between the data."""
+    root = shared_folder(spark, "preamble")
+    key = F.col("o_orderkey")
+    line = F.when(key < 8, F.concat(F.lit("Land-Ocean: again,"), key.cast("string"))).otherwise(
+        F.concat("o_orderstatus", F.lit(","), key.cast("string"))
+    )
+    more = F.when(key == 8, F.array(F.lit("Status,0"), F.lit("Status,-1"), F.lit(" \t"))).otherwise(F.array())
+    lines = table(spark, sf_dir, "orders").select(
+        (key % 2).cast("string").alias("stem"), key, F.explode(F.concat(F.array(line), more)).alias("value")
     )
+    heads = [("0", -3, "Land-Ocean: means"), ("0", -2, ""), ("0", -1, "Status,Key"), ("1", -1, "Status,Key")]
+    headed = lines.unionByName(spark.createDataFrame(heads, "stem string, o_orderkey bigint, value string"))
+    ordered = headed.repartition("stem").sortWithinPartitions("stem", "o_orderkey")
+    shapes.write_named_files(ordered, f"{root}/in", ".csv", ordered=True)
+    rows = read_anomaly_csv(spark, f"{root}/in")
+    return rows.select(F.col("Status").alias("status"), F.col("Key").cast("bigint").alias("k"))
 
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer")

@@ -280,3 +280,23 @@ def encoded_daily_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     ids = table(spark, sf_dir, "supplier").select(station("s_suppkey").alias("value"))
     return full.unionByName(ids.withColumn("file_stem", F.col("value")))
+
+
+def write_named_files(lines: DataFrame, root: str, suffix: str, *, ordered: bool = False) -> None:
+    """``value`` of the rows with one ``stem`` as the file ``root/stem + suffix``.
+
+    Spark names files by itself, so each stem is written as a folder with one file, which is then
+    moved. Only for inputs of few files. ``ordered`` rows are dealt and sorted by stem already.
+    """
+    spark = lines.sparkSession
+    kept = lines.select("stem", "value")
+    kept = kept if ordered else kept.repartition("stem")
+    kept.write.partitionBy("stem").text(f"{root}-by-stem")
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    system = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(root))
+    for found in system.globStatus(path(f"{root}-by-stem/stem=*/part-*")):
+        stem = found.getPath().getParent().getName().removeprefix("stem=")
+        system.rename(found.getPath(), path(f"{root}/{stem}{suffix}"))
+    system.delete(path(f"{root}-by-stem"), True)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.functions.text import base_name
 from strata.operators.storage import (
     compression,
     layer_sizes,
@@ -12,67 +11,41 @@ from strata.operators.storage import (
     reconciliation_counts,
     total_bytes,
 )
-from strata.plans.evaluation import metrics_document, run_evaluation, run_report
+from strata.plans.evaluation import layer_files, metrics_document, run_evaluation, run_report
 from strata.plans.landing import (
     land_raw,
     landed_files,
     landed_lines,
-    list_inputs,
     reconcile_landing,
 )
 from strata.session import shared_folder
-from strata.sinks import publish, write_layer, write_single_file
-from strata.sources.files import first_available, manifest, missing_inputs
+from strata.sinks import publish, write_layer, write_merged
+from strata.sources.files import manifest, missing_inputs
 from workload.functions import _size_sql
 from workload.quality import SCORES_SQL, scores
 from workload.registry import query
-from workload.shapes import rounded, table
+from workload.shapes import rounded, table, write_named_files
 
 
-@query()
-def input_manifest(spark, sf_dir):
-    """Listing of the given tables' own files; sizes are not visible to SQL."""
-    files = manifest(spark, sf_dir, "tables", pattern="*.parquet")
-    return files.select("dataset", "relative_path", "length")
-
-
-# The given tables, one file each.
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages "
-    "benchmark labels conversations"
-).split()
-
-
-@query(f"""
-    SELECT name || '.parquet' AS relative_path, true AS has_bytes
-    FROM (VALUES {', '.join(f"('{name}')" for name in TABLES)}) v(name)
+@query("""
+    SELECT * FROM (
+        SELECT 'orders-' || CAST(o_orderkey % 5 AS VARCHAR) AS relative_path FROM orders
+        UNION ALL SELECT 'customers-' || CAST(c_nationkey AS VARCHAR) FROM customer
+    ) GROUP BY ALL HAVING relative_path LIKE 'customers%' AND count(*) > 0
 """)
-def input_files(spark, sf_dir):
-    """The listing of the given tables' files, by name."""
-    files = manifest(spark, sf_dir, "tables", pattern="*.parquet")
-    return files.select("relative_path", (F.col("length") > 0).alias("has_bytes"))
-
-
-@query("SELECT 'orders.parquet' AS name, 0::BIGINT AS empty_files")
-def first_available_files(spark, sf_dir):
-    """The first place that has files: no archives here, so the plain file is taken."""
-    places = [(sf_dir, "orders.tar.gz"), (f"{sf_dir}/absent", "*"), (sf_dir, "orders.parquet")]
-    files = first_available(spark, "orders", places)
-    return files.groupBy(base_name("path").alias("name")).agg(
-        F.count_if(F.col("length") == 0).alias("empty_files")
-    )
-
-
-@query("SELECT * FROM (VALUES ('absent.parquet')) v(relative_path)")
 def missing_required_files(spark, sf_dir):
-    files = manifest(spark, sf_dir, "tables")
-    names = table(spark, sf_dir, "nation").select(
-        F.when(F.col("n_nationkey") == 0, "absent.parquet")
-        .when(F.col("n_nationkey") < 13, "orders.parquet")
-        .otherwise("lineitem.parquet")
-        .alias("relative_path")
-    )
-    return missing_inputs(files, names)
+    """Names asked for by two tables; files were written for those of one, one of them empty."""
+    root = shared_folder(spark, "required")
+    number = (F.col("o_orderkey") % 5).cast("string")
+    orders = table(spark, sf_dir, "orders").withColumn("stem", F.concat(F.lit("orders-"), number))
+    text = F.when(number == "0", F.lit(None).cast("string")).otherwise(F.col("o_orderstatus"))
+    orders = orders.withColumn("value", text)
+    write_named_files(orders.where("value is not null"), f"{root}/in", "")
+    write_named_files(spark.createDataFrame([("orders-0", "")], "stem string, value string"), f"{root}/in", "")
+    customers = table(spark, sf_dir, "customer")
+    nation = F.concat(F.lit("customers-"), F.col("c_nationkey").cast("string")).alias("relative_path")
+    names = orders.select(F.col("stem").alias("relative_path")).unionByName(customers.select(nation))
+    return missing_inputs(manifest(spark, f"{root}/in", "in"), names.distinct())
 
 
 def _text_inputs(spark, sf_dir):
@@ -109,20 +82,51 @@ def landed_text(spark, sf_dir):
     return counts[0].unionByName(counts[1]).join(sizes, "dataset")
 
 
-@query("""
-    SELECT * FROM (VALUES ('conversations', true), ('events', true)) v(dataset, counts_match)
-""")
+# Orders by status as text files, landed; of one file the lines of one priority are then lost.
+DAMAGED_SQL = """
+    SELECT 'orders/' || o_orderstatus || '.txt' AS relative_path,
+           sum(strlen(o_orderpriority) + 1)::BIGINT AS local_bytes,
+           coalesce(sum(strlen(o_orderpriority) + 1)
+               FILTER (o_orderstatus <> 'F' OR o_orderpriority <> '5-LOW'), 0)::BIGINT AS stored_bytes,
+           CASE WHEN o_orderstatus = 'F' THEN 'size_differs' ELSE 'same' END AS status
+    FROM orders GROUP BY o_orderstatus
+"""
+
+
+@query(DAMAGED_SQL)
 def landing_reconciled(spark, sf_dir):
-    """Input files against landed files, per dataset."""
-    root, inputs = _text_inputs(spark, sf_dir)
-    raw = f"{root}/raw"
-    land_raw(spark, inputs, raw, text_datasets=list(inputs))
-    files = reconcile_landing(list_inputs(spark, inputs), landed_files(spark, raw))
-    dataset = F.substring_index("relative_path", "/", 1).alias("dataset")
-    by_dataset = files.groupBy(dataset).agg(
-        F.count_if(F.col("status") != "same").alias("differing")
+    """Input files against landed files after one of these has lost lines."""
+    root = shared_folder(spark, "damaged")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("stem"), F.col("o_orderpriority").alias("value")
     )
-    return by_dataset.select("dataset", (F.col("differing") == 0).alias("counts_match"))
+    write_named_files(orders, f"{root}/in", ".txt")
+    inputs = {"orders": [(f"{root}/in", "*.txt")]}
+    files = land_raw(spark, inputs, f"{root}/raw", text_datasets=["orders"])
+    lines = landed_lines(spark, f"{root}/raw", "orders")
+    lost = F.col("file_name").eqNullSafe("F.txt") & F.col("value").eqNullSafe("5-LOW")
+    write_layer(lines.where(~lost), f"{root}/other", "lines", partition_by=["dataset"])
+    stored = spark.read.parquet(f"{root}/raw/files")
+    write_layer(stored, f"{root}/other", "files")
+    return reconcile_landing(files, landed_files(spark, f"{root}/other"))
+
+
+# Supplier, part and customer names as the files of three written layers.
+WRITTEN_SQL = """
+    SELECT (SELECT sum(strlen(s_name) + 1) FROM supplier)::BIGINT AS bronze,
+           (SELECT sum(strlen(p_name) + 1) FROM part)::BIGINT AS silver,
+           (SELECT sum(strlen(c_name) + 1) FROM customer)::BIGINT AS gold
+"""
+
+
+@query(WRITTEN_SQL)
+def written_layer_bytes(spark, sf_dir):
+    """Bytes of three layers from the listing of their files."""
+    root = shared_folder(spark, "layers")
+    columns = {"bronze": ("supplier", "s_name"), "silver": ("part", "p_name"), "gold": ("customer", "c_name")}
+    for layer, (source, column) in columns.items():
+        table(spark, sf_dir, source).select(column).write.text(f"{root}/{layer}/table")
+    return layer_sizes(layer_files(spark, {layer: f"{root}/{layer}" for layer in columns}))
 
 
 # Customers and parts as two listings that overlap.
@@ -229,11 +233,11 @@ def rerun_overwrites(spark, sf_dir):
 
 
 @query("SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority")
-def single_file_table(spark, sf_dir):
+def merged_table(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     counts = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
     root = shared_folder(spark, "single")
-    return spark.read.parquet(write_single_file(counts, f"{root}/counts.parquet"))
+    return spark.read.parquet(write_merged(counts, f"{root}/counts.parquet"))
 
 
 def _metrics(spark, sf_dir):

@@ -16,10 +16,14 @@ from strata.operators.select import choose_match, equals_target, required_target
 from strata.plans.aggregated import (
     annual_carbon,
     multi_source_join,
+    run_annual_carbon,
+    run_multi_source,
+    run_trend,
     serving_query as serving,
     temperature_trend,
 )
-from strata.plans.flat import difference_counts, flat_annual as flat_annual_table
+from strata.plans.cleaned import ANOMALY_TABLE, CARBON_TABLE, GRID_TABLE
+from strata.plans.flat import difference_counts, flat_annual as flat_annual_table, run_flat
 from strata.plans.flat import flat_join as flat_join_table
 from strata.plans.flat import flat_trend as flat_trend_table
 from strata.session import shared_folder
@@ -43,14 +47,27 @@ ANNUAL_SQL = f"""
 
 
 def _join_sql(grid_sql: str, variable: str, metric: str) -> str:
+    """Means by year and series, turned so that the series are columns."""
     return f"""
-        SELECT n.year, round(n.v, 4) AS nasa_anomaly, round(e.v, 4) AS era5_value,
-               round(g.v, 4) AS gcb_value, '{variable}' AS era5_variable, '{metric}' AS gcb_metric
-        FROM (SELECT year, avg(anomaly) AS v FROM ({ANOMALIES_SQL}) GROUP BY year) n
-        LEFT JOIN (SELECT CAST(year(time) AS INT) AS year, avg(value) AS v FROM ({grid_sql})
-                   WHERE variable = '{variable}' GROUP BY 1) e ON e.year = n.year
-        LEFT JOIN (SELECT year, avg(value) AS v FROM ({CARBON_SQL})
-                   WHERE metric = '{metric}' GROUP BY year) g ON g.year = n.year
+        PIVOT (
+            SELECT CAST(year AS INT) AS year, 'nasa_anomaly' AS series, anomaly AS v
+            FROM ({ANOMALIES_SQL})
+            UNION ALL
+            SELECT year(time), 'era5_value', value FROM ({grid_sql}) WHERE variable = '{variable}'
+            UNION ALL
+            SELECT year, 'gcb_value', value FROM ({CARBON_SQL}) WHERE metric = '{metric}'
+        )
+        ON series IN ('nasa_anomaly', 'era5_value', 'gcb_value') USING round(avg(v), 4)
+        GROUP BY year
+    """
+
+
+def _join_query(*parts: str) -> str:
+    _, variable, metric = parts
+    return f"""
+        SELECT * REPLACE (CAST(year AS INT) AS year), '{variable}' AS era5_variable, '{metric}' AS gcb_metric
+        FROM ({_join_sql(*parts)})
+        WHERE year IN (SELECT year FROM ({ANOMALIES_SQL}))
     """
 
 
@@ -69,14 +86,14 @@ def _rounded_join(joined):
     return rounded(joined, "nasa_anomaly", "era5_value", "gcb_value")
 
 
-@query(_join_sql(GRID_SQL, "t2m", "fossil_emissions"))
+@query(_join_query(GRID_SQL, "t2m", "fossil_emissions"))
 def annual_left_join(spark, sf_dir):
     parts = (shapes.anomalies, shapes.grid, shapes.carbon)
     return _rounded_join(multi_source_join(*[part(spark, sf_dir) for part in parts]))
 
 
 @query(
-    _join_sql(
+    _join_query(
         "SELECT ts AS time, event_type AS variable, value FROM events", "click", "ocean_sink"
     )
 )
@@ -246,7 +263,7 @@ def flat_annual(spark, sf_dir):
     return rounded(replace_table(flat, "gcb_annual"), "value")
 
 
-@query(_join_sql(GRID_SQL, "t2m", "fossil_emissions"))
+@query(_join_query(GRID_SQL, "t2m", "fossil_emissions"))
 def flat_join(spark, sf_dir):
     parts = (shapes.anomalies, shapes.grid, shapes.carbon)
     return _rounded_join(flat_join_table(*[part(spark, sf_dir) for part in parts]))
@@ -262,15 +279,50 @@ def layered_equals_flat(spark, sf_dir):
         part(spark, sf_dir) for part in (shapes.anomalies, shapes.grid, shapes.carbon)
     )
     pairs = {
-        "annual": (annual_by_metric(spark, sf_dir), flat_annual(spark, sf_dir)),
+        "annual": (
+            rounded(annual_carbon(carbon, ordered=False), "value"),
+            flat_annual(spark, sf_dir),
+        ),
         "join": (
             _rounded_join(multi_source_join(monthly, grid, carbon, ordered=False)),
             flat_join(spark, sf_dir),
         ),
-        "trend": (trend_union(spark, sf_dir), flat_trend(spark, sf_dir)),
+        "trend": (
+            rounded(temperature_trend(monthly, grid, ordered=False), "value"),
+            flat_trend(spark, sf_dir),
+        ),
     }
     counts = [
         difference_counts(layered, flat).withColumn("name", F.lit(name))
         for name, (layered, flat) in pairs.items()
     ]
     return union_by_position(*counts)
+
+
+@query(
+    "SELECT * FROM (VALUES ('gcb_annual', 0::BIGINT, 0::BIGINT), ('multi_source_join', 0, 0), "
+    "('temp_trend', 0, 0)) v(name, only_layered, only_flat)"
+)
+def stored_layers_equal_flat_job(spark, sf_dir):
+    """The tables that the flat job writes against the stored tables of the layered jobs."""
+    root = shared_folder(spark, "both")
+    silver, gold = f"{root}/silver", f"{root}/gold"
+    parts = [part(spark, sf_dir) for part in (shapes.anomalies, shapes.grid, shapes.carbon)]
+    for part, name in zip(parts, (ANOMALY_TABLE, GRID_TABLE, CARBON_TABLE), strict=True):
+        write_layer(part, silver, name)
+    layered = {
+        "temp_trend": run_trend(spark, silver, gold),
+        "gcb_annual": run_annual_carbon(spark, silver, gold),
+        "multi_source_join": run_multi_source(spark, silver, gold),
+    }
+    stored = [spark.read.parquet(f"{silver}/{name}") for name in (ANOMALY_TABLE, GRID_TABLE, CARBON_TABLE)]
+    paths = run_flat(*stored, f"{root}/flat")
+
+    def steady(table):
+        return rounded(table, *[name for name, kind in table.dtypes if kind == "double"])
+
+    counts = [
+        difference_counts(steady(table), steady(spark.read.parquet(paths[name]))).withColumn("name", F.lit(name))
+        for name, table in layered.items()
+    ]
+    return union_by_position(*counts)
