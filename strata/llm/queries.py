@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import decontamination, licenses, neardup, packing, pii, quality_rules, sharding, suffixes, toxicity, warc
+from strata.llm import decontamination, licenses, neardup, oracles, packing, pii, quality_rules, sharding, suffixes, toxicity, warc
 from strata.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,5 +113,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+ORACLE |= {
+    "op1_suffixes": oracles.OP1,
+    "op7_neardup": oracles.OP7,
+    "op8_sharding": oracles.OP8,
+    "op9_warc": oracles.OP9,
+    "op10_quality": oracles.OP10,
+}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
