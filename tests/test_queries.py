@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 
 import oracle
 import pytest
@@ -50,6 +51,22 @@ def test_only_distinct_names_are_ranked(spark, position):
     assert "HashAggregate(keys=[name" in plan and "HashAggregate(keys=[name" in plan.split("CASE WHEN")[-1]
 
 
+def test_entry_without_the_corpus_folder(monkeypatch):
+    """What hangs on the corpus subpackage goes with it; a fault inside it is not hidden."""
+    for name in ("strata.llm", "corpus_pipeline"):
+        with monkeypatch.context() as context:
+            for module in [m for m in sys.modules if m.startswith("strata.llm")]:
+                context.delitem(sys.modules, module)
+            context.setitem(sys.modules, name, None)
+            assert set(entry.queries()) == set(QUERIES) and entry.oracle_sql() == ORACLE
+    with monkeypatch.context() as context:
+        for module in [m for m in sys.modules if m.startswith("strata.llm")]:
+            context.delitem(sys.modules, module)
+        context.setitem(sys.modules, "zlib", None)
+        with pytest.raises(ModuleNotFoundError, match="zlib"):
+            entry.queries()
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["date", "source", "variable", "unit", "value"]
 
