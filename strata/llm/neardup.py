@@ -15,8 +15,9 @@ from strata.llm.common import settle, text_or_empty
 SHINGLE = 5
 SIGNATURE = 64
 TREES = 16
-# Values of a tree's order that a region's documents have in common, from broad to narrow regions.
-DEPTHS = (2, 4, 8, 16)
+# Values of a tree's order that a region's documents have in common, from broad regions down to those
+# whose documents agree in the whole signature.
+DEPTHS = (2, 4, 8, 16, SIGNATURE)
 # A region with more documents is looked at one depth further down.
 REGION = 32
 # Share of equal signature values under which a pair is not compared in full; at 64 values a pair at
@@ -150,7 +151,9 @@ def _regions(forest: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs of documents with the first one of their region, and the regions of each document.
 
     Every document starts in the broadest regions of its trees. A region with over ``REGION``
-    documents is taken apart one depth further down. Sizes come from partial aggregates, and the rows
+    documents is taken apart one depth further down. At the last depth, whatever its size, each is
+    paired with the first and the last one only: documents with equal signatures that are not linked
+    to the same one are less likely than any other miss. Sizes come from partial aggregates, and the rows
     of a large region are spread over tasks by the join that brings its size back.
     """
     pairs, regions, rows = [], [], forest
