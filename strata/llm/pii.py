@@ -42,7 +42,7 @@ SPELLED = {
 
 _DIGIT_WORD = "(?:" + "|".join(SPELLED) + ")"
 SPELLED_RUN = re.compile(
-    rf"\b(?:plus[\s-]+)?{_DIGIT_WORD}(?:(?:[\s,-]+|\s+(?:dot|point)\s+|\s*\.\s*){_DIGIT_WORD}){{3,}}\b", re.I
+    rf"\b(?:plus[\s-]+)?{_DIGIT_WORD}(?:(?:[\s,-]+|\s+(?:dot|point)\s+|\.){_DIGIT_WORD}){{3,}}\b", re.I
 )
 SPELLED_PART = re.compile(rf"{_DIGIT_WORD}|plus|dot|point|\.", re.I)
 BRACKET_AT = re.compile(r"\s*(?:\[\s*at\s*\]|\(\s*at\s*\)|\{\s*at\s*\}|<\s*at\s*>)\s*", re.I)
