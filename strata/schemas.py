@@ -39,13 +39,6 @@ GRID = _schema(
     ("units", StringType(), True),
     ("source_file", StringType(), True),
 )
-STATION = _schema(
-    ("station_id", StringType(), False),
-    ("lat", DoubleType(), True),
-    ("lon", DoubleType(), True),
-    ("elevation", DoubleType(), True),
-    ("name", StringType(), True),
-)
 STATION_DAILY = _schema(
     ("station_id", StringType(), False),
     ("date", DateType(), False),
