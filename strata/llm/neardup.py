@@ -231,8 +231,11 @@ def near_duplicates(
     classes = settle(classes, "classes")
     pairs, regions = _regions(classes.select("id", "signature").mapInArrow(_grow, ROWS))
     regions = settle(regions.distinct(), "regions")
+    pairs = settle(pairs, "pairs")
 
-    known = regions.select("id").distinct()
+    # A document may be paired at the top of its trees and end alone in each, so both tables count.
+    known = regions.select("id").unionByName(pairs.select(F.col("a").alias("id")))
+    known = known.unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     signatures = settle(classes.join(known, "id", "left_semi").select("id", "signature"), "candidates")
     compared = texts.join(known.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
     compared = settle(compared, "compared-texts")
@@ -241,7 +244,6 @@ def near_duplicates(
         agreeing = _joined(some, signatures, "signature").mapInArrow(_agreeing, "a long, b long")
         return settle(_joined(agreeing, compared, "text").mapInArrow(_alike(threshold), "a long, b long"), "verified")
 
-    pairs = settle(pairs, "pairs")
     links = links_among(pairs)
     found = components(links)
     placed = regions.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
