@@ -23,6 +23,8 @@ REGION = 32
 # Share of equal signature values under which a pair is not compared in full; at 64 values a pair at
 # the similarity wanted, 0.75, falls below it about once in a million.
 LEAST_AGREEMENT = 0.5
+# Index and probe rows of one shingle that meet in one group of a join.
+HOT = 1_000
 NO_ID = -(2**63)
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -147,8 +149,9 @@ def _joined(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
     return whole.select("a", "b", "of_a", "of_b")
 
 
-def _regions(forest: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of documents with the first one of their region, and the regions of each document.
+def _regions(forest: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs of documents with the first one of their region, the regions of each document, and the
+    documents of broadest regions with over ``REGION`` of them.
 
     Every document starts in the broadest regions of its trees. A region with over ``REGION``
     documents is taken apart one depth further down. At the last depth, whatever its size, each is
@@ -156,7 +159,7 @@ def _regions(forest: DataFrame) -> tuple[DataFrame, DataFrame]:
     to the same one are less likely than any other miss. Sizes come from partial aggregates, and the rows
     of a large region are spread over tasks by the join that brings its size back.
     """
-    pairs, regions, rows = [], [], forest
+    pairs, regions, rows, crowd = [], [], forest, None
     for depth in DEPTHS:
         key, last = f"p{depth}", depth == DEPTHS[-1]
         sizes = rows.groupBy(key).agg(
@@ -165,6 +168,7 @@ def _regions(forest: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows = rows.join(sizes.where("size > 1"), key)
         deeper = [f"p{d}" for d in DEPTHS if d > depth]
         rows = settle(rows.select("id", key, *deeper, "size", "first", "last"), f"regions-{depth}")
+        crowd = rows.where(F.col("size") > REGION).select("id").distinct() if crowd is None else crowd
         pairs.append(rows.where("id > first").select(F.col("first").alias("a"), F.col("id").alias("b")))
         small = rows if last else rows.where(F.col("size") <= REGION)
         regions.append(small.select("id", F.col(key).alias("region"), "size"))
@@ -174,7 +178,61 @@ def _regions(forest: DataFrame) -> tuple[DataFrame, DataFrame]:
     for more in (pairs, regions):
         for part in more[1:]:
             more[0] = more[0].unionByName(part)
-    return pairs[0].distinct(), regions[0]
+    return pairs[0].distinct(), regions[0], crowd
+
+
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [shingles(value.as_py()).view(np.int64) for value in batch["text"]]
+        yield pa.record_batch(
+            {
+                "id": batch["id"],
+                "component": batch["component"],
+                "n": pa.array([len(values) for values in found], pa.int64()),
+                "shingles": pa.array(found, pa.list_(pa.int64())),
+            }
+        )
+
+
+def _crowd_pairs(texts: DataFrame, threshold: int) -> DataFrame:
+    """Every pair ``a, b`` of different components in ``id, component, text`` that may reach ``threshold``.
+
+    Prefix filtering, which loses no pair: shingles are put in one order, those of a single component
+    first (no pair wanted shares them), then from rare to common. Sets that are alike enough have their
+    first common shingle where the rest of both still holds the overlap that the threshold asks for. So
+    a set meets larger ones by the beginning that leaves room for one of its own size, and smaller
+    ones by the longer beginning that leaves room for the smallest that can be alike. What a whole crowd
+    has in common stands at the end and is in neither where its members are too far from each other.
+    Common shingles are cut in groups of ``HOT`` rows on either side, each pair of groups by itself.
+    """
+    spread = settle(texts.mapInArrow(_spread, "id long, component long, n long, shingles array<long>"), "crowd")
+    rows = spread.select("id", "component", "n", F.explode("shingles").alias("shingle"))
+    several = [F.count(F.lit(1)).alias("among"), F.min("component").alias("x"), F.max("component").alias("y")]
+    shared = rows.groupBy("shingle").agg(*several).where("x != y").select("shingle", "among")
+    rows = rows.join(shared.hint("merge"), "shingle").groupBy("id", "component", "n")
+    rows = rows.agg(F.array_sort(F.collect_list(F.struct("among", "shingle"))).alias("order"))
+    left = F.size("order") - F.col("pos")  # shingles of the set from this place on
+    rows = rows.select("id", "component", "n", "order", F.posexplode("order"))
+    rows = rows.where(100 * left >= threshold * F.col("n"))
+    rows = rows.withColumn("left", left.cast("long")).withColumn("first", (100 + threshold) * left >= 2 * threshold * F.col("n"))
+    rows = settle(rows.select("id", "component", "n", F.col("col.shingle").alias("shingle"), "left", "first"), "beginnings")
+
+    sizes = rows.groupBy("shingle").agg(F.count_if("first").alias("ones"), *several).where("ones > 0 and x != y")
+    groups = {name: F.ceil(F.col(name) / HOT).cast("int") for name in ("ones", "among")}
+    sizes = sizes.select("shingle", groups["ones"].alias("ones"), groups["among"].alias("twos"))
+    rows = settle(rows.join(sizes.hint("merge"), "shingle"), "meetings")
+    drawn = F.xxhash64("id")
+
+    def side(some: DataFrame, own: str, other: str, suffix: str) -> DataFrame:
+        columns = [F.col(name).alias(f"{name}_{suffix}") for name in ("id", "component", "n", "left")]
+        group = [F.pmod(drawn, own).cast("int").alias(f"of_{own}"), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(f"of_{other}")]
+        return some.select("shingle", *columns, *group)
+
+    one, two = side(rows.where("first"), "ones", "twos", "a"), side(rows, "twos", "ones", "b")
+    met = one.hint("merge").join(two, ["shingle", "of_ones", "of_twos"])
+    met = met.where("component_a != component_b and (n_a < n_b or (n_a = n_b and id_a < id_b))")
+    met = met.where(f"{100 + threshold} * least(left_a, left_b) >= {threshold} * (n_a + n_b)")
+    return met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -217,6 +275,9 @@ def near_duplicates(
     3. Pairs whose signatures agree enough are compared on their full sets, which makes links.
     4. Documents that share a region and are still in different components are paired with each other
        and compared in the same way, so the links of a region are whole, not only those to its first.
+    5. Documents whose broadest region in some tree has over ``REGION`` of them are a crowd. All pairs
+       of it that may be alike and are still in different components are found by prefix filtering,
+       which is exact, and compared.
 
     Returns ``doc_id, n_shingles, component_id, kept``: the least id reachable, and whether it is the
     row's own. A text without words, NULL or not, has no shingles and stands alone. A NULL id counts as
@@ -229,7 +290,7 @@ def near_duplicates(
     worded = signed.where("n_shingles > 0")
     classes = worded.groupBy(*sets).agg(F.min("id").alias("id"), F.first("signature").alias("signature"))
     classes = settle(classes, "classes")
-    pairs, regions = _regions(classes.select("id", "signature").mapInArrow(_grow, ROWS))
+    pairs, regions, crowd = _regions(classes.select("id", "signature").mapInArrow(_grow, ROWS))
     regions = settle(regions.distinct(), "regions")
     pairs = settle(pairs, "pairs")
 
@@ -253,7 +314,12 @@ def near_duplicates(
     two = placed.select("region", F.col("id").alias("b"), F.col("component").alias("of_b"))
     across = one.join(two, "region").where((F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b")))
     across = across.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    found = components(links.unionByName(links_among(across)))
+    links = links.unionByName(links_among(across))
+    found = components(links)
+    if not crowd.isEmpty():
+        held = compared.join(crowd.hint("merge"), "id").join(found.hint("merge"), "id", "left")
+        held = held.select("id", F.coalesce("component", "id").alias("component"), "text")
+        found = components(links.unionByName(links_among(settle(_crowd_pairs(held, threshold), "crowd-pairs"))))
 
     own = classes.join(found, "id", "left").select(*sets, F.coalesce("component", "id").alias("component"))
     result = signed.join(own, sets, "left")

@@ -267,6 +267,24 @@ def test_stars_and_chains_hold_together(spark):
     assert got == {doc: component for doc, (_, component) in grouped(rows).items()}
 
 
+@pytest.mark.parametrize(("common", "extra"), [(228, 33), (242, 19), (253, 8)])
+def test_pairs_in_crowds(spark, common, extra):
+    """A passage in 240 texts of 300 shingles, at 0.6 to 0.72 to each other, and pairs at 0.75 to 0.8."""
+    drawn, rows = random.Random(common), []
+    passage = [f"p{i}" for i in range(common)]
+    for pair in range(120):
+        also = [f"s{pair}x{i}" for i in range(extra + pair % 7 if pair % 3 else 0)]
+        for doc in (2 * pair, 2 * pair + 1):
+            own = [f"o{doc}x{i}" for i in range(304 - common - len(also))]
+            rows.append((doc, " ".join(passage + also + own)))
+    drawn.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    got = {row["doc_id"]: row["component_id"] for row in neardup.near_duplicates(df).collect()}
+    expected = {doc: component for doc, (_, component) in grouped(rows).items()}
+    assert 60 < sum(doc != component for doc, component in expected.items()) <= 80
+    assert got == expected
+
+
 def test_components(spark):
     drawn = random.Random(4)
     links = [(i, i + 1) for i in range(60)] + [(drawn.randint(100, 160), drawn.randint(100, 160)) for _ in range(50)]
