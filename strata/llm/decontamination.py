@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import settle, text_or_empty
@@ -101,9 +101,9 @@ def find_items(
 ) -> DataFrame:
     """Benchmark items that a window of a document's words repeats, one row per document and item.
 
-    Windows have as many words as the item and start where one of the document's five-word shingles
-    lines up with the same shingle of an item (windows without a common shingle have similarity 0);
-    they are cut at the ends of the text. Each window and each item has a 64-bit SimHash of its
+    Windows have as many words as the item, are cut at the end of the text, and start at every place
+    from which they hold shingles of one item that weigh ``threshold`` of it (with less they cannot
+    reach that similarity). Each window and each item has a 64-bit SimHash of its
     weighted shingles. Items are found through an index of 8 blocks of their fingerprints, each with
     up to 2 bits turned over, which meets every item within ``radius`` (23) bits. Candidates are then
     held to the exact similarity: the weights common to both multisets of shingles over the weights of
@@ -121,9 +121,10 @@ def find_items(
     items = settle(items.withColumn("length", F.least(F.size("words"), F.lit(SHINGLE))).distinct(), "items")
     lengths = sorted(row["length"] for row in items.select("length").distinct().collect()) or [SHINGLE]
 
-    placed = items.select("n_words", "length", "words", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("length"))).alias("at"))
-    hashed = F.coalesce(*[F.when(F.col("length") == k, _shingle("words", "at", k)) for k in lengths])
-    known = settle(placed.select(hashed.alias("hash"), F.col("at").alias("item_at"), "n_words", "length").distinct(), "item-shingles")
+    item_shingles = settle(_shingles(items, ["item_id", "n_words"], lengths), "item-counts")
+    mass = F.sum(F.col("weight") * F.col("count")).over(Window.partitionBy("item_id", "n_words"))
+    known = item_shingles.withColumn("least", threshold * mass).withColumn("length", F.least("n_words", F.lit(SHINGLE)))
+    known = settle(known.drop("count"), "item-shingles")
 
     text = text_or_empty(text_col)
     split = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), words_of(text).alias("words"))
@@ -133,12 +134,25 @@ def find_items(
         rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - length)))
         rows = rows.withColumn("hash", _shingle("words", "at", length))
         theirs = _small(known.where(F.col("length") == length), known.count())
-        rows = rows.join(theirs, "hash").withColumn("start", F.greatest(F.col("at") - F.col("item_at"), F.lit(0)))
-        rows = rows.select(*WINDOW, "length", F.slice("words", F.col("start") + 1, F.col("n_words")).alias("words"))
+        # Every window that holds the place lies in the words from `first` to the item's length after it.
+        first = F.greatest(F.col("at") - F.col("n_words") + length, F.lit(0))
+        rows = rows.join(theirs, "hash").withColumn("first", first)
+        around = F.slice("words", F.col("first") + 1, F.col("at") - F.col("first") + F.col("n_words"))
+        rows = rows.select("doc_id", "text_hash", "n_words", "item_id", "at", "first", "length", "weight", "least", around.alias("around"))
         hits = rows if hits is None else hits.unionByName(rows)
-    windows = hits.groupBy(*WINDOW).agg(F.first("length").alias("length"), F.first("words").alias("words"))
+    hits = settle(hits, "hits")
+    starts = hits.drop("around").distinct().withColumn("start", F.explode(F.sequence("first", "at")))
+    starts = starts.groupBy(*WINDOW, "item_id", "length").agg(
+        F.sum("weight").alias("held"), F.first("least").alias("least"), F.min("at").alias("at")
+    )
+    # Sums of doubles aside, a window at the threshold itself stays.
+    starts = starts.where(F.col("held") >= F.col("least") - 1e-6)
+    starts = starts.groupBy(*WINDOW, "length").agg(F.min("at").alias("at"))
+    around = hits.select("text_hash", "n_words", "at", "first", "around").dropDuplicates(["text_hash", "n_words", "at"])
+    windows = starts.join(around, ["text_hash", "n_words", "at"])
+    held = F.slice("around", F.col("start") - F.col("first") + 1, F.col("n_words"))
+    windows = windows.select(*WINDOW, "length", held.alias("words"))
     windows = settle(_shingles(windows, WINDOW, lengths), "window-shingles")
-    item_shingles = settle(_shingles(items, ["item_id", "n_words"], lengths), "item-counts")
 
     masks = [sum(1 << bit for bit in bits) for n in range(BLOCK_RADIUS + 1) for bits in combinations(range(BITS // BLOCKS), n)]
     index = _blocks(_fingerprints(item_shingles, ["item_id", "n_words"]), masks)

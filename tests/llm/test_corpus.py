@@ -141,6 +141,26 @@ def test_decontamination_of_changed_passages(spark):
     assert all(similarity <= expected[key] + 1e-9 for key, similarity in got.items())
 
 
+def test_decontamination_between_alignments(spark):
+    """Every match of 0.75 and more, also where the best window starts at no alignment."""
+    drawn = random.Random(8)
+    items = [(i, " ".join("q" * drawn.randint(1, 9) + str(drawn.randint(0, 400)) for _ in range(drawn.randint(20, 60)))) for i in range(12)]
+    docs = []
+    for doc in range(600):
+        words = drawn.choice(items)[1].split()
+        for _ in range(drawn.randint(1, 3)):
+            at = drawn.randrange(len(words))
+            words[at : at + drawn.randint(0, 1)] = drawn.choice([[], ["new"], ["two", "more"]])
+        around = ["z" * drawn.randint(1, 9) + str(drawn.randint(0, 999)) for _ in range(20)]
+        docs.append((doc, " ".join(around[:10] + words + around[10:])))
+    schema = "{} int, text string"
+    found = decontamination.find_items(
+        spark.createDataFrame(docs, schema.format("doc_id")), spark.createDataFrame(items, schema.format("item_id"))
+    )
+    got = {(row["doc_id"], row["item_id"]): pytest.approx(row["similarity"]) for row in found.collect()}
+    assert got == contaminated(docs, items)
+
+
 def test_decontamination_edges(spark, awkward, no_rows):
     items = spark.createDataFrame(
         [(1, None, "x"), (2, "", "x"), (3, "one", "x"), (4, sentence(2, 60), "x"), (4, sentence(2, 60), "x"), (None, sentence(3, 30), "x")],
