@@ -44,16 +44,33 @@ _DIGIT_WORD = "(?:" + "|".join(SPELLED) + ")"
 SPELLED_RUN = re.compile(
     rf"\b(?:plus[\s-]+)?{_DIGIT_WORD}(?:(?:[\s,-]+|\s+(?:dot|point)\s+|\.){_DIGIT_WORD}){{3,}}\b", re.I
 )
+_SEPARATOR = r"(?:[\s,-]+|\s+(?:dot|point)\s+|\.)"
+_AFTER_FIGURE = r"(?:(?<=[0-9][\s,.-])|(?<=[0-9],\s)|(?<=[0-9]\sdot\s)|(?<=[0-9]\spoint\s))"
+_BEFORE_FIGURE = rf"(?={_SEPARATOR}\+?[0-9])"
+# Digit words beside figures: one between two of them or after a plus, else two and more, as a single
+# one beside a number is common in prose.
+MIXED_RUN = re.compile(
+    rf"{_AFTER_FIGURE}\b{_DIGIT_WORD}(?:{_SEPARATOR}{_DIGIT_WORD})*\b{_BEFORE_FIGURE}"
+    rf"|{_AFTER_FIGURE}\b{_DIGIT_WORD}(?:{_SEPARATOR}{_DIGIT_WORD})+\b"
+    rf"|(?:\bplus[\s-]+|(?<=\+))\b{_DIGIT_WORD}(?:{_SEPARATOR}{_DIGIT_WORD})*\b{_BEFORE_FIGURE}"
+    rf"|\b{_DIGIT_WORD}(?:{_SEPARATOR}{_DIGIT_WORD})+\b{_BEFORE_FIGURE}",
+    re.I,
+)
 SPELLED_PART = re.compile(rf"{_DIGIT_WORD}|plus|dot|point|\.", re.I)
 BRACKET_AT = re.compile(r"\s*(?:\[\s*at\s*\]|\(\s*at\s*\)|\{\s*at\s*\}|<\s*at\s*>)\s*", re.I)
 BRACKET_DOT = re.compile(r"\s*(?:\[\s*(?:dot|\.)\s*\]|\(\s*(?:dot|\.)\s*\)|\{\s*(?:dot|\.)\s*\}|<\s*dot\s*>)\s*", re.I)
+# A dot in disguise. After a spelled "at" an address has at least one, before or behind it, as
+# "meet at example.com" is prose; the others may be plain.
+_DOT = rf"(?:\s+dot\s+|{BRACKET_DOT.pattern})"
+_LOCAL, _LABEL = "[A-Za-z0-9._%+-]++", "[A-Za-z0-9-]++"
 SPACED_ADDRESS = re.compile(
-    r"[A-Za-z0-9._%+-]++(?:\s+dot\s+[A-Za-z0-9_%+-]++)*(?:"
-    r"\s+at\s+[A-Za-z0-9-]++(?:\s+dot\s+[A-Za-z0-9-]++)+"
-    r"|\s*@\s*[A-Za-z0-9-]++(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]++)+)",
+    rf"{_LOCAL}(?:"
+    rf"(?:{_DOT}{_LOCAL})*\s+at\s+{_LABEL}(?:\.{_LABEL})*{_DOT}{_LABEL}(?:(?:{_DOT}|\.){_LABEL})*"
+    rf"|(?:{_DOT}{_LOCAL})+\s+at\s+{_LABEL}(?:\.{_LABEL})+"
+    rf"|(?:{_DOT}{_LOCAL})*\s*@\s*{_LABEL}(?:(?:{_DOT}|\.){_LABEL})+)",
     re.I,
 )
-SPACED_MARK = re.compile(r"\s+at\s+|\s+dot\s+|\s*@\s*", re.I)
+SPACED_MARK = re.compile(rf"\s+at\s+|{_DOT}|\s*@\s*", re.I)
 SPACED_NUMBER = re.compile(r"(?<=[0-9])\s+dot\s+(?=[0-9])", re.I)
 DISGUISED = re.compile(
     rf"[^\x00-\x7f -¬®-˿]|­|[\[({{<]\s*(?:at|dot|\.)\s*[\])}}>]|\b(?:dot|{_DIGIT_WORD})\b|\s@|@\s", re.I
@@ -154,14 +171,15 @@ def _address(match: re.Match) -> str:
 
 
 def normalise(text: str) -> Plain:
-    """The chain of transducers: letters, spelled digits, bracketed marks, spaced addresses."""
+    """The chain of transducers: letters, spelled digits, disguised addresses, other bracketed dots."""
     plain = Plain(text)
     plain.letters()
     plain.rewrite(SPELLED_RUN, _digits)
+    plain.rewrite(MIXED_RUN, _digits)
     plain.rewrite(BRACKET_AT, lambda m: "@")
+    plain.rewrite(SPACED_ADDRESS, _address)
     plain.rewrite(BRACKET_DOT, lambda m: ".")
     plain.rewrite(SPACED_NUMBER, lambda m: ".")
-    plain.rewrite(SPACED_ADDRESS, _address)
     return plain
 
 

@@ -127,6 +127,34 @@ def test_disguises(text, found):
     assert base == [] and [(kind, text[a:b]) for kind, a, b in spans] == found
 
 
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("joe dot smith at example.com", "email"),
+        ("joe at mail.example dot com", "email"),
+        ("joe at example dot co.uk", "email"),
+        ("joe at example [dot] com", "email"),
+        ("joe at example(.)com", "email"),
+        ("joe [dot] smith (at) example.com", "email"),
+        ("+1 555 one two three 4567", "phone"),
+        ("+1 555 123 four five six seven", "phone"),
+        ("plus one 555 123 4567", "phone"),
+        ("192.168.one.20", "ip"),
+        ("192 dot 168 dot one dot 20", "ip"),
+    ],
+)
+def test_mixed_disguises(text, kind):
+    found = pii.find_all(f"so {text}, or")[1]
+    assert (kind, 3, 3 + len(text)) in found
+
+
+def test_prose_beside_numbers_and_places():
+    for text in ("meet at example.com", "in 2004 one of them", "Look at the dot.com boom"):
+        assert pii.find_all(text)[1] == []
+    text = "call +1 555 123 4567 one more time"
+    assert [text[a:b] for _, a, b in pii.find_all(text)[1]] == ["+1 555 123 4567"]
+
+
 def test_redaction(spark, awkward, no_rows):
     df = spark.createDataFrame([(1, "x a@b.de y", 7), (2, None, 8), (3, "no", 9)], "doc_id int, text string, spans int")
     assert [tuple(row) for row in pii.redact(df).orderBy("doc_id").collect()] == [(1, "x [EMAIL] y", 7), (2, None, 8), (3, "no", 9)]
