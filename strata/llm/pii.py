@@ -72,8 +72,9 @@ SPACED_ADDRESS = re.compile(
 )
 SPACED_MARK = re.compile(rf"\s+at\s+|{_DOT}|\s*@\s*", re.I)
 SPACED_NUMBER = re.compile(r"(?<=[0-9])\s+dot\s+(?=[0-9])", re.I)
+_SINGLE = re.escape("".join(map(chr, (*LOOKALIKES, *MARKS))) + NO_WIDTH)
 DISGUISED = re.compile(
-    rf"[^\x00-\x7f -¬®-˿]|­|[\[({{<]\s*(?:at|dot|\.)\s*[\])}}>]|\b(?:dot|{_DIGIT_WORD})\b|\s@|@\s", re.I
+    rf"[{_SINGLE}]|[^\x00-\x7f -¬®-˿]|­|[\[({{<]\s*(?:at|dot|\.)\s*[\])}}>]|\b(?:dot|{_DIGIT_WORD})\b|\s@|@\s", re.I
 )
 
 

@@ -155,6 +155,14 @@ def test_prose_beside_numbers_and_places():
     assert [text[a:b] for _, a, b in pii.find_all(text)[1]] == ["+1 555 123 4567"]
 
 
+@pytest.mark.parametrize("c", [*map(chr, (*pii.LOOKALIKES, *pii.MARKS)), *pii.NO_WIDTH])
+def test_every_disguised_character_is_noticed(c):
+    """Each by itself, in an address that has no other disguise."""
+    plain = pii.normalise(c).text
+    text = f"joe{c}mail.com" if plain == "@" else f"joe@mail{c}com" if plain == "." else f"joe@m{c}ail.com"
+    assert [(kind, text[a:b]) for kind, a, b in pii.find_all(text)[1]][-1:] == [("email", text)]
+
+
 def test_redaction(spark, awkward, no_rows):
     df = spark.createDataFrame([(1, "x a@b.de y", 7), (2, None, 8), (3, "no", 9)], "doc_id int, text string, spans int")
     assert [tuple(row) for row in pii.redact(df).orderBy("doc_id").collect()] == [(1, "x [EMAIL] y", 7), (2, None, 8), (3, "no", 9)]
