@@ -177,3 +177,27 @@ OP10 = rf"""
     )
     SELECT *, NOT base_failed AND n_words_removed <= n_words * 0.3 AS kept FROM based
 """
+
+OP11 = """
+    WITH vectors AS (
+        SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scores AS (
+        SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS alike,
+               list_dot_product(a.v, r.v)::BIGINT AS score
+        FROM vectors a JOIN vectors r ON a.vec_id % 100 = 0 AND a IS DISTINCT FROM r
+    ),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE alike
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id,
+           (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INT AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scores USING (anchor_id)
+    WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import decontamination, licenses, neardup, oracles, packing, pii, quality_rules, sharding, suffixes, toxicity, warc
+from strata.llm import decontamination, hard_negatives, licenses, neardup, oracles, packing, pii, quality_rules, sharding, suffixes, toxicity, warc
 from strata.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +107,14 @@ def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, every seventh label being moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, near-duplicates, decontamination, personal data and packing, one after the other."""
@@ -119,6 +127,7 @@ ORACLE |= {
     "op8_sharding": oracles.OP8,
     "op9_warc": oracles.OP9,
     "op10_quality": oracles.OP10,
+    "op11_hard_negatives": oracles.OP11,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
