@@ -201,3 +201,87 @@ OP11 = """
     WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
     QUALIFY rank <= 10
 """
+
+# CRC-32 as above; then the best way to each place of the grammar and length of the audit, row by row.
+OP12 = r"""
+    WITH RECURSIVE steps AS (
+        SELECT v, 0 AS k, v AS c FROM range(256) t(v)
+        UNION ALL
+        SELECT v, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8
+    ),
+    crcs AS (SELECT list(c ORDER BY v) AS crc FROM steps WHERE k = 8),
+    rows_named AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+        FROM conversations
+    ),
+    kinds AS (
+        SELECT *, xor(list_reduce(
+                   list_prepend(4294967295::BIGINT, list_transform(range(1, len(name) + 1), lambda i: ascii(name[i])::BIGINT)),
+                   lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+        FROM rows_named, crcs
+    ),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM kinds, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)
+    ),
+    placed AS (
+        SELECT *, row_number() OVER w AS i,
+               lag(role[1]) OVER w || role[1] AS pair, regexp_extract_all(text, '[^\x20\x09-\x0D]')[-1] AS mark
+        FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+    ),
+    judged AS (
+        SELECT conv_id, turn, i, role, text, pair,
+               CASE WHEN mark IS NULL THEN 'blank' WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate' WHEN mark NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+        FROM placed
+    ),
+    faults AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+        FROM judged GROUP BY conv_id
+    ),
+    follows(place, initial, target) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+    puts(place, target, letters, more, added) AS (
+        VALUES (0, 0, '', 0, []), (1, 1, '', 0, []), (2, 2, '', 0, []), (3, 3, '', 0, []),
+               (0, 2, 'I', 2, ['user:']), (1, 2, 'I', 2, ['user:']), (3, 2, 'I', 2, ['user:']), (2, 3, 'I', 2, ['assistant:']),
+               (0, 3, 'II', 4, ['user:', 'assistant:']), (1, 3, 'II', 4, ['user:', 'assistant:']),
+               (3, 3, 'II', 4, ['user:', 'assistant:']), (2, 2, 'II', 4, ['assistant:', 'user:'])
+    ),
+    edits AS (
+        SELECT conv_id, i, place, place AS target, 'D' AS letter, 3 AS more, []::VARCHAR[] AS added
+        FROM judged, range(4) p(place)
+        UNION ALL
+        SELECT conv_id, i, f.place, f.target, 'K', (fault = 'truncated')::INT, [role || ':' || text]
+        FROM judged JOIN follows f ON f.initial = role[1] WHERE fault IN ('', 'truncated')
+        UNION ALL
+        SELECT conv_id, i, f.place, f.target, 'R', 2 + (fault = 'truncated')::INT,
+               [CASE f.initial WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text]
+        FROM judged JOIN follows f ON f.initial IN ('u', 'a') WHERE fault IN ('', 'truncated')
+    ),
+    ways AS (
+        SELECT conv_id, 0::BIGINT AS i, 0 AS place, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS lines FROM faults
+        UNION ALL
+        SELECT w.conv_id, e.i, e.target, w.cost + p.more + e.more, w.audit || p.letters || e.letter,
+               list_concat(list_concat(w.lines, p.added), e.added)
+        FROM ways w JOIN puts p ON p.place = w.place
+        JOIN edits e ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.i = w.i + 1 AND e.place = p.target
+        QUALIFY row_number() OVER (
+            PARTITION BY w.conv_id, e.target, len(w.audit || p.letters)
+            ORDER BY w.cost + p.more + e.more, w.audit || p.letters || e.letter) = 1
+    ),
+    ends AS (
+        SELECT w.conv_id, w.cost + p.more AS cost, w.audit || p.letters AS audit, list_concat(w.lines, p.added) AS lines
+        FROM ways w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.i
+        JOIN puts p ON p.place = w.place WHERE p.target IN (0, 3)
+        QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + p.more, w.audit || p.letters) = 1
+    )
+    SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+           coalesce(audit, '') AS audit, sha256(array_to_string(coalesce(lines, []), chr(10))) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c
+    LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""

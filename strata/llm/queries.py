@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import decontamination, hard_negatives, licenses, neardup, oracles, packing, pii, quality_rules, sharding, suffixes, toxicity, warc
+from strata.llm import conversations, decontamination, hard_negatives, licenses, neardup, oracles, packing, pii, quality_rules, sharding, suffixes, toxicity, warc
 from strata.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +115,32 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
 
 
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with one row in five damaged, each kind by the checksum of its id and turn."""
+    name = lambda column: F.coalesce(F.col(column).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(name("conv_id"), F.lit(":"), name("turn"))) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(name("text"), ".!?", "")).otherwise(name("text"))
+    copies = F.array_repeat(F.lit(0), F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1))
+    return rows.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(name("role")).alias("role"), text.alias("text"), F.explode(copies)
+    ).drop("col")
+
+
+@query
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, repaired at the least cost."""
+    rows = table(spark, sf_dir, "conversations")
+    summary, _ = conversations.repair(_damaged(rows))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    ids = rows.select("conv_id").distinct()
+    return ids.join(summary, F.col("conv_id").eqNullSafe(F.col("id")), "left").select(
+        "conv_id",
+        *[F.coalesce(name, F.lit(0).cast("bigint")).alias(name) for name in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, near-duplicates, decontamination, personal data and packing, one after the other."""
@@ -128,6 +154,7 @@ ORACLE |= {
     "op9_warc": oracles.OP9,
     "op10_quality": oracles.OP10,
     "op11_hard_negatives": oracles.OP11,
+    "op12_conversations": oracles.OP12,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
