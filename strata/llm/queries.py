@@ -8,7 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import conversations, decontamination, hard_negatives, licenses, neardup, oracles, packing, pii, quality_rules, sharding, suffixes, toxicity, warc
+from strata.llm import (
+    conversations,
+    decontamination,
+    hard_negatives,
+    licenses,
+    neardup,
+    oracles,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    suffixes,
+    toxicity,
+    warc,
+)
 from strata.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +156,17 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by its nearest labelled neighbours; a quarter of the ids is held out."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    voters = quality_classifier.fit(docs, labels.where(~held_out), F.col("quality"))
+    return quality_classifier.score(docs, voters).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, near-duplicates, decontamination, personal data and packing, one after the other."""
