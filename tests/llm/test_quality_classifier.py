@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import AWKWARD, LONG, SF_DIR
+from conftest import AWKWARD, SF_DIR
 from strata.llm import quality_classifier as qc
 from strata.llm import queries
 
@@ -21,10 +26,40 @@ def voters(spark):
     return qc.fit(docs, labels, F.col("quality"))
 
 
+def terms(text):
+    """Shares of a text's terms, word by word."""
+    factor, mask = 0x9E3779B97F4A7C15, 2**64 - 1
+
+    def bucket(hashed, salt):
+        mixed = (hashed + salt) * factor & mask
+        mixed ^= mixed >> 29
+        return (mixed * factor & mask) >> 52
+
+    def hashed(values):
+        return sum(value * pow(factor, i + 1, 2**64) for i, value in enumerate(values)) & mask
+
+    words = re.findall(rb"[^\x20\x09-\x0D]+", text.encode())
+    found = Counter()
+    for i, word in enumerate(words):
+        kinds = []
+        for byte in word:
+            lower, upper = 97 <= byte <= 122 or byte >= 128, 65 <= byte <= 90
+            kinds.append(1 if lower else 2 if upper else 3 if 48 <= byte <= 57 else byte + 4)
+        shape = [kind for k, kind in enumerate(kinds) if not k or kinds[k - 1] != kind][:12]
+        letters = [(byte + 32 if kind == 2 else byte) + 1 for byte, kind in zip(word, kinds) if kind in (1, 2)]
+        found[bucket(hashed(shape), 1)] += 1 / len(words)
+        if letters:
+            found[bucket(hashed(letters), 2)] += 1 / len(words)
+        if i and word == words[i - 1]:
+            found[bucket(0, 3)] += 1 / len(words)
+    found[bucket(len(words).bit_length(), 4)] += 1
+    return found
+
+
 def voted(voters, text):
     """The score of one text, term by term and voter by voter."""
     vector = np.zeros(voters.axes.shape[1])
-    for bucket, share in qc.terms_of(text).items():
+    for bucket, share in terms(text).items():
         vector += share**0.5 * voters.rareness[bucket] * voters.axes[bucket].astype(float)
     length = float(np.linalg.norm(vector))
     near = [(float(v.astype(float) @ vector) / length if length else 0.0, label) for v, label in zip(voters.vectors, voters.labels)]
@@ -70,7 +105,7 @@ def test_awkward_rows(spark, awkward, no_rows, voters):
     by_text = {}
     for row, (doc, text) in zip(got, AWKWARD):
         assert row["doc_id"] == doc
-        by_text.setdefault(text or "", set()).add(row["score"])
+        by_text.setdefault(text or "", set()).add(round(row["score"], 6))
     assert all(len(scores) == 1 for scores in by_text.values())  # labels and ids play no part in a score
     assert qc.score(no_rows, voters).count() == 0
 
@@ -95,9 +130,21 @@ def test_bounded_number_of_voters(spark):
     assert 50 < len(voters.labels) < 150
 
 
-def test_terms():
-    assert qc.shape("Word,") == "Aa," and qc.shape("WORD!!") == "A!" and qc.shape("x$$$") == "a$"
-    assert qc.terms_of("") == {qc._bucket("l:0"): 1.0}
-    repeated, once = qc.terms_of("so so so good"), qc.terms_of("so good")
-    assert qc._bucket("repeated") in repeated and qc._bucket("repeated") not in once
-    assert len(qc.terms_of(LONG)) > 1000
+@given(st.lists(st.text(st.sampled_from("abAB é1.!$\n\t"), max_size=40), max_size=6), st.sampled_from([3, 8, 10**6]))
+@settings(max_examples=150, deadline=None)
+def test_terms(drawn, piece):
+    drawn = [text if piece > 100 else re.sub(r"\S{2,}", "a", text) for text in drawn]  # no word is longer than a piece
+    before, qc.PIECE = qc.PIECE, piece
+    try:
+        got = qc.terms_of(pa.array(["x", *drawn, "y"]).slice(1, len(drawn)))
+    finally:
+        qc.PIECE = before
+    assert got.shape == (len(drawn), qc.BUCKETS)
+    for row, text in zip(got, drawn):
+        assert {bucket: pytest.approx(share) for bucket, share in terms(text).items()} == {i: row[i] for i in np.flatnonzero(row)}
+
+
+def test_shapes():
+    one, other, third = qc.terms_of(pa.array(["WORD!!", "OTHER!", "Word,"]))
+    assert len(set(np.flatnonzero(one)) & set(np.flatnonzero(other))) == 2  # shape and length
+    assert len(set(np.flatnonzero(one)) & set(np.flatnonzero(third))) == 2  # letters and length
