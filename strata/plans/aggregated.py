@@ -17,8 +17,7 @@ from strata.operators.aggregate import (
 )
 from strata.operators.select import choose_match, equals_target, required_target
 from strata.plans.cleaned import ANOMALY_TABLE, CARBON_TABLE, GRID_TABLE
-from strata.sinks import layer_path, write_layer
-from strata.sources.tables import read_parquet
+from strata.sinks import read_layer, write_layer
 
 # Where each table lies below the root of its layer.
 TREND_TABLE = "climate/temp_trend"
@@ -116,21 +115,21 @@ def serving_query(trend: DataFrame, source: str = ANOMALY_SOURCE) -> DataFrame:
 
 def run_trend(spark: SparkSession, cleaned: str, root: str) -> DataFrame:
     trend = temperature_trend(
-        read_parquet(spark, layer_path(cleaned, ANOMALY_TABLE)),
-        read_parquet(spark, layer_path(cleaned, GRID_TABLE)),
+        read_layer(spark, cleaned, ANOMALY_TABLE),
+        read_layer(spark, cleaned, GRID_TABLE),
     )
     return spark.read.parquet(write_layer(trend, root, TREND_TABLE))
 
 
 def run_annual_carbon(spark: SparkSession, cleaned: str, root: str) -> DataFrame:
-    annual = annual_carbon(read_parquet(spark, layer_path(cleaned, CARBON_TABLE)))
+    annual = annual_carbon(read_layer(spark, cleaned, CARBON_TABLE))
     return spark.read.parquet(write_layer(annual, root, CARBON_ANNUAL_TABLE))
 
 
 def run_multi_source(spark: SparkSession, cleaned: str, root: str) -> DataFrame:
     joined = multi_source_join(
-        read_parquet(spark, layer_path(cleaned, ANOMALY_TABLE)),
-        read_parquet(spark, layer_path(cleaned, GRID_TABLE)),
-        read_parquet(spark, layer_path(cleaned, CARBON_TABLE)),
+        read_layer(spark, cleaned, ANOMALY_TABLE),
+        read_layer(spark, cleaned, GRID_TABLE),
+        read_layer(spark, cleaned, CARBON_TABLE),
     )
     return spark.read.parquet(write_layer(joined, root, MULTI_SOURCE_TABLE))

@@ -20,16 +20,17 @@ from strata.plans.aggregated import (
 )
 from strata.sinks import replace_table, write_merged
 
+# All readings as one series; those that the row number tells apart are not averaged with any other.
 TREND = """
-    FROM {grid}
-    |> EXTEND trunc(CAST(time AS TIMESTAMP), 'MM') AS month
-    |> AGGREGATE avg(value) AS mean GROUP BY month, variable, units
-    |> SELECT month AS date, :grid_source AS source, variable, units AS unit, mean AS value
-    |> UNION ALL (
-        FROM {monthly}
-        |> WHERE anomaly IS NOT NULL
-        |> SELECT CAST(date AS DATE), :anomaly_source, :anomaly_variable, :anomaly_unit, anomaly
+    WITH readings AS (
+        SELECT struct(:grid_source AS source, variable, units AS unit) AS label,
+               trunc(CAST(time AS TIMESTAMP), 'MM') AS date, value AS reading, 0L AS number FROM {grid}
+        UNION ALL
+        SELECT struct(:anomaly_source, :anomaly_variable, :anomaly_unit), CAST(date AS DATE), anomaly,
+               1 + monotonically_increasing_id() FROM {monthly} WHERE anomaly IS NOT NULL
     )
+    SELECT date, label.source, label.variable, label.unit, avg(reading) AS value
+    FROM readings GROUP BY label, date, number
 """
 
 ANNUAL = "SELECT year, metric, avg(value) AS value FROM {carbon} GROUP BY year, metric"

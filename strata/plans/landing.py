@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.operators.storage import reconcile
-from strata.sinks import layer_path, write_layer
+from strata.sinks import read_layer, write_layer
 from strata.sources.files import first_available, require_inputs
 from strata.sources.lines import read_lines
 
@@ -68,7 +68,7 @@ def land_raw(
 
 def landed_lines(spark: SparkSession, raw_root: str, dataset: str) -> DataFrame:
     """Lines of one landed dataset; other datasets' folders are not listed."""
-    lines = spark.read.parquet(layer_path(raw_root, LINES))
+    lines = read_layer(spark, raw_root, LINES)
     return lines.where(F.col("dataset") == dataset)
 
 
@@ -77,11 +77,11 @@ def landed_files(spark: SparkSession, raw_root: str) -> DataFrame:
 
     Counted on the stored lines themselves, each with its line end.
     """
-    lines = spark.read.parquet(layer_path(raw_root, LINES))
+    lines = read_layer(spark, raw_root, LINES)
     sizes = lines.groupBy("dataset", F.col("file_path").alias("path")).agg(
         F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("value") + 1).alias("length")
     )
-    stored = spark.read.parquet(layer_path(raw_root, FILES))
+    stored = read_layer(spark, raw_root, FILES)
     return sizes.join(stored.select("dataset", "path", "relative_path"), ["dataset", "path"])
 
 

@@ -1,17 +1,19 @@
 """Writers. Each replaces its target, so running a job twice leaves one copy.
 
-Spark deletes the old files before it writes the new ones: a job that fails leaves no table, and
-running it again makes one.
+Layer tables and merged tables are replaced in one step (``strata.versions``): readers get the old table until
+the new one is whole, and a job that fails leaves the old one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.sources.files import manifest
+from strata.sources.tables import read_parquet
+from strata.versions import replace
 
 
 def layer_path(root: str, dataset: str) -> str:
@@ -19,12 +21,22 @@ def layer_path(root: str, dataset: str) -> str:
 
 
 def write_layer(
-    df: DataFrame, root: str, dataset: str, *, partition_by: Sequence[str] = ()
+    df: DataFrame, root: str, dataset: str, *, partition_by: Sequence[str] = (), keep: int = 0
 ) -> str:
-    """Write a layer table as Parquet, replacing what is there; returns its path."""
-    path = layer_path(root, dataset)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return path
+    """Write a layer table as Parquet, replacing what is there; returns the folder with its files.
+
+    ``keep`` earlier versions stay for jobs that still read them.
+    """
+
+    def write(df: DataFrame, folder: str) -> None:
+        df.write.partitionBy(*partition_by).parquet(folder)
+
+    return replace(df, layer_path(root, dataset), write, keep=keep)
+
+
+def read_layer(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """The current version of a layer table."""
+    return read_parquet(spark, layer_path(root, dataset))
 
 
 def publish(df: DataFrame, root: str, dataset: str, **options) -> DataFrame:
@@ -36,10 +48,10 @@ def publish(df: DataFrame, root: str, dataset: str, **options) -> DataFrame:
 def write_merged(df: DataFrame, path: str) -> str:
     """Write Parquet in files of the size that adaptive execution aims at: a small table in one.
 
-    Partitions are merged or split by their measured bytes, in the one run that writes them.
+    Partitions are merged or split by their measured bytes, in the one run that writes them. Returns the
+    folder with the files.
     """
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
-    return path
+    return replace(df, path, lambda df, folder: df.hint("rebalance").write.parquet(folder))
 
 
 def replace_table(df: DataFrame, name: str, *, saved: bool = False) -> DataFrame:

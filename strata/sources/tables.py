@@ -11,11 +11,15 @@ from pyspark.sql.types import DoubleType, StructType
 from strata import schemas
 from strata.functions.text import plain_path
 from strata.functions.values import nan_to_null
+from strata.versions import current
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
-    """One table from one or more Parquet folders or globs; rows of all paths are appended."""
-    return spark.read.parquet(*paths)
+    """One table from one or more Parquet folders or globs; rows of all paths are appended.
+
+    Of a folder with versions the current one is read.
+    """
+    return spark.read.parquet(*[current(spark, path) or path for path in paths])
 
 
 def read_first_parquet(spark: SparkSession, candidates: Iterable[str]) -> DataFrame:
@@ -23,7 +27,7 @@ def read_first_parquet(spark: SparkSession, candidates: Iterable[str]) -> DataFr
     tried = []
     for path in candidates:
         try:
-            return spark.read.parquet(path)
+            return read_parquet(spark, path)
         except AnalysisException as error:
             if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.select import Box
 from strata.plans import aggregated, cleaned, evaluation, flat, landing
-from strata.sinks import layer_path, publish, replace_table, write_layer, write_merged, write_metrics
+from strata.sinks import publish, read_layer, replace_table, write_layer, write_merged, write_metrics
 from strata.sources import delimited
 from strata.sources.files import manifest
 from strata.sources.lines import read_lines
@@ -195,7 +195,7 @@ def test_gold_tables_equal_their_flat_twins(spark, raw, tmp_path):
         (2002, 0.75, None, None, "t2m", "fossil_emissions"),
     ]
     parts = [
-        spark.read.parquet(layer_path(silver, name))
+        read_layer(spark, silver, name)
         for name in (cleaned.ANOMALY_TABLE, cleaned.GRID_TABLE, cleaned.CARBON_TABLE)
     ]
     paths = flat.run_flat(*parts, str(tmp_path / "flat"))
@@ -271,7 +271,7 @@ def test_evaluation_and_report(spark, raw, tmp_path):
     daily, _ = run_daily(spark, raw, silver)
     wide = delimited.read_anomaly_csv(spark, str(raw / "nasa.csv"))
     tables = [
-        spark.read.parquet(layer_path(silver, name))
+        read_layer(spark, silver, name)
         for name in (cleaned.ANOMALY_TABLE, cleaned.CARBON_TABLE, cleaned.GRID_TABLE)
     ]
     scores = evaluation.quality_scores(

@@ -19,7 +19,8 @@ from strata.plans.landing import (
     reconcile_landing,
 )
 from strata.session import shared_folder
-from strata.sinks import publish, write_layer, write_merged
+from strata.versions import versions
+from strata.sinks import publish, read_layer, write_layer, write_merged
 from strata.sources.files import manifest, missing_inputs
 from workload.functions import _size_sql
 from workload.quality import SCORES_SQL, scores
@@ -106,7 +107,7 @@ def landing_reconciled(spark, sf_dir):
     lines = landed_lines(spark, f"{root}/raw", "orders")
     lost = F.col("file_name").eqNullSafe("F.txt") & F.col("value").eqNullSafe("5-LOW")
     write_layer(lines.where(~lost), f"{root}/other", "lines", partition_by=["dataset"])
-    stored = spark.read.parquet(f"{root}/raw/files")
+    stored = read_layer(spark, f"{root}/raw", "files")
     write_layer(stored, f"{root}/other", "files")
     return reconcile_landing(files, landed_files(spark, f"{root}/other"))
 
@@ -232,6 +233,32 @@ def rerun_overwrites(spark, sf_dir):
     )
 
 
+@query("""
+    SELECT count(*) AS n, sum(o_custkey)::BIGINT AS keys, 1::BIGINT AS versions,
+           sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END)::BIGINT AS lost_to_failure
+    FROM orders
+""")
+def failed_rerun_keeps_the_table(spark, sf_dir):
+    """A table after a rerun whose tasks fail on the urgent orders: the rows of the run before."""
+    root = shared_folder(spark, "failed")
+    orders = table(spark, sf_dir, "orders")
+    publish(orders, root, "orders")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    failing = F.when(urgent, F.raise_error(F.lit("an urgent order"))).otherwise(F.col("o_custkey"))
+    try:
+        write_layer(orders.withColumn("o_custkey", failing), root, "orders")
+    except Exception as error:
+        if "an urgent order" not in str(error):
+            raise
+    kept = read_layer(spark, root, "orders")
+    return kept.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("o_custkey").alias("keys"),
+        F.lit(len(versions(spark, f"{root}/orders"))).cast("long").alias("versions"),
+        F.count_if(urgent).alias("lost_to_failure"),
+    )
+
+
 @query("SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority")
 def merged_table(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")

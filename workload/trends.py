@@ -27,19 +27,25 @@ from strata.plans.flat import difference_counts, flat_annual as flat_annual_tabl
 from strata.plans.flat import flat_join as flat_join_table
 from strata.plans.flat import flat_trend as flat_trend_table
 from strata.session import shared_folder
-from strata.sinks import replace_table, write_layer
+from strata.sinks import read_layer, replace_table, write_layer
 from strata.sources.tables import from_records, read_first_parquet, read_parquet
 from workload import shapes
 from workload.registry import query
 from workload.shapes import ANOMALIES_SQL, CARBON_SQL, GRID_SQL, rounded, table
 
+# One series of readings. A station reading has a number of its own and so is a mean by itself; all grid
+# readings of a month share the number 0.
 TREND_SQL = f"""
-    SELECT date, 'NASA_GISTEMP' AS source, 'temp_anomaly' AS variable, 'C' AS unit,
-           round(anomaly, 4) AS value
-    FROM ({ANOMALIES_SQL}) WHERE anomaly IS NOT NULL
-    UNION ALL
-    SELECT CAST(date_trunc('month', time) AS DATE), 'ERA5', variable, units, round(avg(value), 4)
-    FROM ({GRID_SQL}) GROUP BY 1, 2, 3, 4
+    SELECT * EXCLUDE (number) FROM (
+        SELECT number, source, variable, unit, CAST(day AS DATE) AS date, round(avg(reading), 4) AS value
+        FROM (
+            SELECT 0 AS number, 'ERA5' AS source, variable, units AS unit,
+                   date_trunc('month', time) AS day, value AS reading FROM ({GRID_SQL})
+            UNION ALL BY NAME
+            SELECT row_number() OVER () AS number, 'NASA_GISTEMP' AS source, 'C' AS unit,
+                   'temp_anomaly' AS variable, date AS day, anomaly AS reading FROM ({ANOMALIES_SQL})
+        ) GROUP BY ALL
+    ) WHERE number = 0 OR value IS NOT NULL
 """
 ANNUAL_SQL = f"""
     SELECT year, metric, round(avg(value), 4) AS value FROM ({CARBON_SQL}) GROUP BY year, metric
@@ -315,7 +321,7 @@ def stored_layers_equal_flat_job(spark, sf_dir):
         "gcb_annual": run_annual_carbon(spark, silver, gold),
         "multi_source_join": run_multi_source(spark, silver, gold),
     }
-    stored = [spark.read.parquet(f"{silver}/{name}") for name in (ANOMALY_TABLE, GRID_TABLE, CARBON_TABLE)]
+    stored = [read_layer(spark, silver, name) for name in (ANOMALY_TABLE, GRID_TABLE, CARBON_TABLE)]
     paths = run_flat(*stored, f"{root}/flat")
 
     def steady(table):
