@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from strata.llm.common import settle, text_or_empty
 
 FOLDS = 3
+# Tasks that sum up the rows a chain is fitted on, whose number is bounded; rows looked at together.
+TASKS = 8
+BLOCK = 500
 STEM = 4
 # Labelled rows that the chain is fitted on, at most; beyond it a hash of the id chooses.
 MAX_TRAINING_ROWS = 20_000
@@ -57,11 +60,17 @@ def probability(category: str) -> str:
     return f"p_{category}"
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK):
+            yield batch.slice(at, BLOCK)
+
+
 def _with_tokens(df: DataFrame) -> DataFrame:
     """Replace the column ``_text``, the last one, by ``_tokens``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _blocks(batches):
             found = [sorted(tokens_of(value.as_py())) for value in batch["_text"]]
             columns = {name: batch[name] for name in batch.schema.names if name != "_text"}
             yield pa.record_batch(columns | {"_tokens": pa.array(found, pa.list_(pa.string()))})
@@ -70,20 +79,92 @@ def _with_tokens(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, f"{kept}, _tokens array<string>")
 
 
-def _fit(design: np.ndarray, label: np.ndarray, ridge: float, rounds: int = 25) -> np.ndarray:
-    """Ridge logistic regression by Newton's method; the last column of ``design`` is the constant."""
-    weights = np.zeros(design.shape[1])
-    penalty = np.full(design.shape[1], ridge)
-    penalty[-1] = 1e-6
+@dataclass
+class Fit:
+    """A model while it is fitted: places of its words, its weights, and the fold that is left out."""
+
+    columns: np.ndarray
+    weights: np.ndarray
+    left_out: int | None
+    settled: bool = False
+
+
+def _probabilities(margin: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
+
+
+def _designs(
+    batch: pa.RecordBatch, n_words: int, earlier: list[dict[int, Fit]]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Presence of words, out-of-fold probabilities of the earlier categories, and folds of some rows."""
+    presence = np.zeros((batch.num_rows, n_words))
+    sizes = np.diff(batch["_words"].offsets.to_numpy())
+    presence[np.repeat(np.arange(batch.num_rows), sizes), batch["_words"].flatten().to_numpy()] = 1
+    folds = batch["_fold"].to_numpy()
+    before = np.zeros((batch.num_rows, 0))
+    for models in earlier:
+        found = np.zeros(batch.num_rows)
+        for fold, model in models.items():
+            mine = folds == fold
+            found[mine] = _probabilities(_design(presence[mine], before[mine], model) @ model.weights)
+        before = np.column_stack([before, found])
+    return presence, before, folds
+
+
+def _design(presence: np.ndarray, before: np.ndarray, model: Fit) -> np.ndarray:
+    return np.column_stack([presence[:, model.columns], before, np.ones(len(presence))])
+
+
+def _newton(
+    sample: DataFrame, category: str, models: list[Fit], earlier: list[dict[int, Fit]], n_words: int, ridge: float, rounds: int = 25
+) -> None:
+    """Ridge logistic regression by Newton's method, of several models at once; the last weight is the constant.
+
+    Tasks sum up gradients and second derivatives over their rows, and only these sums reach the driver: a square
+    of the number of words, for each task and model that is not settled yet.
+    """
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(design @ weights, -50, 50)))
-        gradient = design.T @ (p - label) + penalty * weights
-        spread = np.maximum(p * (1 - p), 1e-6)
-        step = np.linalg.solve((design * spread[:, None]).T @ design + np.diag(penalty), gradient)
-        weights -= step
-        if np.abs(step).max() < 1e-6:
-            break
-    return weights
+        open_ = [i for i, model in enumerate(models) if not model.settled]
+        if not open_:
+            return
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = {i: np.zeros((len(models[i].weights) + 1, len(models[i].weights))) for i in open_}  # noqa: B023
+            for batch in _blocks(batches):
+                presence, before, folds = _designs(batch, n_words, earlier)
+                label = batch[category].to_numpy()
+                for i in open_:  # noqa: B023
+                    used = slice(None) if models[i].left_out is None else folds != models[i].left_out
+                    design = _design(presence[used], before[used], models[i])
+                    p = _probabilities(design @ models[i].weights)
+                    sums[i][0] += design.T @ (p - label[used])
+                    sums[i][1:] += (design * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ design
+            yield pa.record_batch(
+                {"model": pa.array(list(sums)), "sums": pa.array([s.tobytes() for s in sums.values()], pa.binary())}
+            )
+
+        totals = {i: np.zeros((len(models[i].weights) + 1, len(models[i].weights))) for i in open_}
+        for row in sample.mapInArrow(run, "model bigint, sums binary").toLocalIterator():
+            totals[row["model"]] += np.frombuffer(row["sums"]).reshape(totals[row["model"]].shape)
+        for i, total in totals.items():
+            penalty = np.full(len(models[i].weights), ridge)
+            penalty[-1] = 1e-6
+            step = np.linalg.solve(total[1:] + np.diag(penalty), total[0] + penalty * models[i].weights)
+            models[i].weights = models[i].weights - step
+            models[i].settled = bool(np.abs(step).max() < 1e-6)
+
+
+def _with_words(rows: DataFrame, place: dict[str, int], categories: Sequence[str]) -> DataFrame:
+    """Fold, categories and the places of the chosen words of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _blocks(batches):
+            words = [[place[t] for t in tokens.as_py() if t in place] for tokens in batch["_tokens"]]
+            columns = {name: batch[name] for name in ("_fold", *categories)}
+            yield pa.record_batch(columns | {"_words": pa.array(words, pa.list_(pa.int32()))})
+
+    kept = ", ".join(f"`{c}` int" for c in ("_fold", *categories))
+    return rows.select("_fold", *categories, "_tokens").mapInArrow(run, f"{kept}, _words array<int>")
 
 
 def fit_chain(
@@ -101,8 +182,8 @@ def fit_chain(
 
     ``labels`` has an id and a 0/1 column per category; rows with a NULL in one of these are left out.
     Words are counted by class in Spark; a model takes those whose share of documents differs most
-    between the classes, in standard deviations. What reaches the driver is bounded: the ids, labels
-    and chosen words of ``max_rows`` rows at most, and ``max_words`` words a model.
+    between the classes, in standard deviations. No row reaches the driver, only words, ``max_words`` a model at
+    most, and sums over the rows. The chosen labels, ``max_rows`` at most, are broadcast.
 
     What a later model sees of an earlier category while it is fitted are out-of-fold probabilities:
     every row is scored by a model whose words and weights come from the other folds. The models kept
@@ -118,7 +199,7 @@ def fit_chain(
         known = known.where(drawn < int(2**32 * max_rows / n_labels))
     known = known.withColumn("_fold", F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(FOLDS)).cast("int"))
     texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-    rows = settle(_with_tokens(texts.join(known, "_id").drop("_id")), "labelled")
+    rows = settle(_with_tokens(texts.join(F.broadcast(known), "_id").drop("_id")), "labelled")
 
     def sums() -> list[Column]:
         """Per fold: rows, and rows of each category."""
@@ -156,37 +237,25 @@ def fit_chain(
     chosen = {(c, out): telling(c, out) for c in categories for out in left_outs[c]}
     vocabulary = sorted({word for words in chosen.values() for word in words})
     place = {word: i for i, word in enumerate(vocabulary)}
-    in_use = F.array(*map(F.lit, vocabulary)) if vocabulary else F.array().cast("array<string>")
-    sample = rows.select("_fold", *categories, F.array_intersect("_tokens", in_use).alias("words")).collect()
-    presence = np.zeros((len(sample), len(vocabulary)), dtype=np.float32)
-    for i, row in enumerate(sample):
-        presence[i, [place[word] for word in row["words"]]] = 1
-    fold_of = np.array([row["_fold"] for row in sample])
+    sample = settle(_with_words(rows, place, categories), "sample").coalesce(TASKS)
 
     models: list[Linear] = []
-    before = np.zeros((len(sample), 0))
+    earlier: list[dict[int, Fit]] = []
     for category in categories:
-        label = np.array([row[category] for row in sample], dtype=float)
-        out_of_fold = np.zeros(len(sample))
-        for left_out in left_outs[category]:
-            words = chosen[category, left_out]
-            columns = [place[word] for word in words]
-            design = np.column_stack([presence[:, columns], before, np.ones(len(sample))]).astype(float)
-            used = fold_of != -1 if left_out is None else fold_of != left_out
-            weights = _fit(design[used], label[used], ridge) if used.any() else np.zeros(design.shape[1])
-            if left_out is None:
-                split = len(words)
-                models.append(
-                    Linear(
-                        dict(zip(words, weights[:split].tolist(), strict=True)),
-                        tuple(weights[split:-1].tolist()),
-                        float(weights[-1]),
-                    )
-                )
-            else:
-                margin = np.clip(design[~used] @ weights, -50, 50)
-                out_of_fold[~used] = 1 / (1 + np.exp(-margin))
-        before = np.column_stack([before, out_of_fold])
+        fits = [
+            Fit(np.array([place[w] for w in chosen[category, out]], dtype=int), np.zeros(len(chosen[category, out]) + len(earlier) + 1), out)
+            for out in left_outs[category]
+        ]
+        _newton(sample, category, fits, earlier, len(vocabulary), ridge)
+        words, weights = chosen[category, None], fits[0].weights
+        models.append(
+            Linear(
+                dict(zip(words, weights[: len(words)].tolist(), strict=True)),
+                tuple(weights[len(words) : -1].tolist()),
+                float(weights[-1]),
+            )
+        )
+        earlier.append({fit.left_out: fit for fit in fits if fit.left_out is not None})
     return Chain(tuple(categories), tuple(models))
 
 

@@ -7,6 +7,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -223,6 +224,30 @@ def test_toxicity_on_held_out_rows(spark):
     assert caught >= 0.6 and wrong <= 0.02
 
 
+def test_chain_equals_a_fit_on_one_matrix(spark):
+    """Weights from sums over tasks against gradient descent to the end on all rows at once."""
+    drawn = random.Random(4)
+    docs, labels = [], []
+    for doc in range(240):
+        poor, toxic = drawn.random() < 0.4, drawn.random() < 0.3
+        words = [w for w, p in (("bad", poor), ("vile", toxic), ("nice", not toxic), ("plain", True)) if drawn.random() < 0.2 + 0.6 * p]
+        docs.append((doc, " ".join(words)))
+        labels.append((doc, int(poor), int(toxic)))
+    frames = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, poor int, toxic int")
+    chain = toxicity.fit_chain(*(frame.repartition(5) for frame in frames), ["poor", "toxic"])
+    first = chain.models[0]
+    assert "bad" in first.words and first.before == ()
+    words = list(first.words)
+    design = np.array([[float(w in toxicity.tokens_of(text)) for w in words] + [1.0] for _, text in docs])
+    label = np.array([poor for _, poor, _ in labels], dtype=float)
+    got = np.array([*first.words.values(), first.constant])
+    penalty = np.array([1.0] * len(words) + [1e-6])
+    slope = design.T @ (1 / (1 + np.exp(-design @ got)) - label) + penalty * got
+    assert np.abs(slope).max() < 1e-6  # the only place where the convex loss has no slope
+    # the second model's rows see the first category as models of the other folds see it
+    assert len(chain.models[1].before) == 1
+
+
 def test_toxicity_edges(spark, awkward, no_rows):
     schema = "doc_id bigint, rude int"
     some = spark.createDataFrame([(i, i % 2) for i in range(2, 13)] + [(None, 1), (5, None), (99, 1)], schema)
