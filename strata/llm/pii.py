@@ -57,20 +57,23 @@ MIXED_RUN = re.compile(
     re.I,
 )
 SPELLED_PART = re.compile(rf"{_DIGIT_WORD}|plus|dot|point|\.", re.I)
-BRACKET_AT = re.compile(r"\s*(?:\[\s*at\s*\]|\(\s*at\s*\)|\{\s*at\s*\}|<\s*at\s*>)\s*", re.I)
-BRACKET_DOT = re.compile(r"\s*(?:\[\s*(?:dot|\.)\s*\]|\(\s*(?:dot|\.)\s*\)|\{\s*(?:dot|\.)\s*\}|<\s*dot\s*>)\s*", re.I)
+# Blanks are taken from the start of their run only, so that no run is walked from each of its places.
+_BLANKS = r"(?:(?<!\s)\s++)?"
+BRACKET_AT = re.compile(rf"{_BLANKS}(?:\[\s*+at\s*+\]|\(\s*+at\s*+\)|\{{\s*+at\s*+\}}|<\s*+at\s*+>)\s*+", re.I)
+BRACKET_DOT = re.compile(
+    rf"{_BLANKS}(?:\[\s*+(?:dot|\.)\s*+\]|\(\s*+(?:dot|\.)\s*+\)|\{{\s*+(?:dot|\.)\s*+\}}|<\s*+dot\s*+>)\s*+", re.I
+)
 # A dot in disguise. After a spelled "at" an address has at least one, before or behind it, as
 # "meet at example.com" is prose; the others may be plain.
 _DOT = rf"(?:\s+dot\s+|{BRACKET_DOT.pattern})"
-_LOCAL, _LABEL = "[A-Za-z0-9._%+-]++", "[A-Za-z0-9-]++"
-SPACED_ADDRESS = re.compile(
-    rf"{_LOCAL}(?:"
-    rf"(?:{_DOT}{_LOCAL})*\s+at\s+{_LABEL}(?:\.{_LABEL})*{_DOT}{_LABEL}(?:(?:{_DOT}|\.){_LABEL})*"
-    rf"|(?:{_DOT}{_LOCAL})+\s+at\s+{_LABEL}(?:\.{_LABEL})+"
-    rf"|(?:{_DOT}{_LOCAL})*\s*@\s*{_LABEL}(?:(?:{_DOT}|\.){_LABEL})+)",
-    re.I,
-)
-SPACED_MARK = re.compile(rf"\s+at\s+|{_DOT}|\s*@\s*", re.I)
+_LABEL = "[A-Za-z0-9-]++"
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+BRACKETS = {"]": "[", ")": "(", "}": "{", ">": "<"}
+AT = re.compile(r"(?<!\s)\s++at(?=\s)|@", re.I)
+DISGUISED_DOMAIN = re.compile(rf"\s*+{_LABEL}(?:\.{_LABEL})*+{_DOT}{_LABEL}(?:(?:{_DOT}|\.){_LABEL})*+", re.I)
+PLAIN_DOMAIN = re.compile(rf"\s*+{_LABEL}(?:\.{_LABEL})++", re.I)
+ANY_DOMAIN = re.compile(rf"\s*+{_LABEL}(?:(?:{_DOT}|\.){_LABEL})++", re.I)
+SPACED_MARK = re.compile(rf"(?<!\s)\s++at\s+|(?<!\s)\s++dot\s+|{BRACKET_DOT.pattern}|{_BLANKS}@\s*+", re.I)
 SPACED_NUMBER = re.compile(r"(?<=[0-9])\s+dot\s+(?=[0-9])", re.I)
 _SINGLE = re.escape("".join(map(chr, (*LOOKALIKES, *MARKS))) + NO_WIDTH)
 DISGUISED = re.compile(
@@ -129,15 +132,14 @@ class Plain:
         self.ends = [self.ends[i] for i in kept]
         self.text = "".join(map(_letter, (self.text[i] for i in kept)))
 
-    def rewrite(self, pattern: re.Pattern, replace: Callable[[re.Match], str]) -> None:
-        """Replace matches; every new character stands for the whole match."""
+    def rewrite(self, find: Callable[[str], Iterator[tuple[int, int]]], replace: Callable[[str], str]) -> None:
+        """Replace what is found; every new character stands for the whole stretch."""
         texts: list[str] = []
         starts: list[int] = []
         ends: list[int] = []
         done = 0
-        for match in pattern.finditer(self.text):
-            a, b = match.span()
-            new = replace(match)
+        for a, b in find(self.text):
+            new = replace(self.text[a:b])
             texts += (self.text[done:a], new)
             starts += self.starts[done:a]
             ends += self.ends[done:a]
@@ -162,25 +164,92 @@ def _letter(c: str) -> str:
     return str(digit) if digit is not None else c.translate(LOOKALIKES).translate(MARKS)
 
 
-def _digits(match: re.Match) -> str:
-    parts = (part.lower() for part in SPELLED_PART.findall(match[0]))
+def _digits(run: str) -> str:
+    parts = (part.lower() for part in SPELLED_PART.findall(run))
     return "".join({"plus": "+", "dot": ".", "point": "."}.get(p) or SPELLED.get(p, p) for p in parts)
 
 
-def _address(match: re.Match) -> str:
-    return SPACED_MARK.sub(lambda m: "@" if "a" in m[0].lower() or "@" in m[0] else ".", match[0])
+def _address(found: str) -> str:
+    return SPACED_MARK.sub(lambda m: "@" if "a" in m[0].lower() or "@" in m[0] else ".", found)
+
+
+def _before_blanks(text: str, end: int, floor: int) -> int:
+    while end > floor and text[end - 1].isspace():
+        end -= 1
+    return end
+
+
+def _before_local(text: str, end: int, floor: int) -> int:
+    while end > floor and text[end - 1] in LOCAL:
+        end -= 1
+    return end
+
+
+def _before_dot(text: str, end: int, floor: int) -> int | None:
+    """Where a disguised dot that ends at ``end`` starts, its blanks included; ``None`` if there is none."""
+    inner = _before_blanks(text, end, floor)
+    if inner < end and text[inner - 3 : inner].lower() == "dot" and inner - 3 > floor:
+        start = _before_blanks(text, inner - 3, floor)
+        return start if start < inner - 3 else None
+    closing = text[inner - 1] if inner > floor else ""
+    if closing not in BRACKETS:
+        return None
+    inner = _before_blanks(text, inner - 1, floor)
+    if text[max(inner - 3, floor) : inner].lower() == "dot":
+        inner -= 3
+    elif inner > floor and text[inner - 1] == "." and closing != ">":
+        inner -= 1
+    else:
+        return None
+    inner = _before_blanks(text, inner, floor)
+    if inner > floor and text[inner - 1] == BRACKETS[closing]:
+        return _before_blanks(text, inner - 1, floor)
+    return None
+
+
+def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses with a disguised at or dot, or with blanks at the sign, from left to right.
+
+    Each is sought from its "at": the domain is read behind it, then the parts of the name before it are
+    walked back over. No place is looked at from more than two of them.
+    """
+    done = 0
+    for at in AT.finditer(text):
+        if at.start() < done:
+            continue
+        spelled = at[0] != "@"
+        domain = (DISGUISED_DOMAIN if spelled else ANY_DOMAIN).match(text, at.end())
+        plain = PLAIN_DOMAIN.match(text, at.end()) if spelled and not domain else None
+        if not domain and not plain:
+            continue
+        end = at.start() if spelled else _before_blanks(text, at.start(), done)
+        start, dots = _before_local(text, end, done), 0
+        if start == end:
+            continue
+        while (dot := _before_dot(text, start, done)) is not None:
+            further = _before_local(text, dot, done)
+            if further == dot:
+                break
+            start, dots = further, dots + 1
+        if domain or dots:
+            done = (domain or plain).end()
+            yield start, done
+
+
+def _spans(pattern: re.Pattern) -> Callable[[str], Iterator[tuple[int, int]]]:
+    return lambda text: (match.span() for match in pattern.finditer(text))
 
 
 def normalise(text: str) -> Plain:
     """The chain of transducers: letters, spelled digits, disguised addresses, other bracketed dots."""
     plain = Plain(text)
     plain.letters()
-    plain.rewrite(SPELLED_RUN, _digits)
-    plain.rewrite(MIXED_RUN, _digits)
-    plain.rewrite(BRACKET_AT, lambda m: "@")
-    plain.rewrite(SPACED_ADDRESS, _address)
-    plain.rewrite(BRACKET_DOT, lambda m: ".")
-    plain.rewrite(SPACED_NUMBER, lambda m: ".")
+    plain.rewrite(_spans(SPELLED_RUN), _digits)
+    plain.rewrite(_spans(MIXED_RUN), _digits)
+    plain.rewrite(_spans(BRACKET_AT), lambda _: "@")
+    plain.rewrite(addresses, _address)
+    plain.rewrite(_spans(BRACKET_DOT), lambda _: ".")
+    plain.rewrite(_spans(SPACED_NUMBER), lambda _: ".")
     return plain
 
 
