@@ -53,6 +53,18 @@ def with_repeat_count(df: DataFrame, words: str, name: str) -> DataFrame:
     return df.drop("_hashes", "_windows", "_sorted", "_starts")
 
 
+def nothing_but_labels(line: Column) -> Column:
+    """Two menu labels or more, each with separators or blanks behind it, and nothing else but leading blanks.
+
+    No label begins another, so taking them out from left to right leaves nothing but the leading blanks. A
+    pattern for the whole line would need a repeated group, which Java matches by recursion: a line of some
+    thousand labels would use up the stack.
+    """
+    label = F.lit(f"(?i)({MENU})[{SPACE}|/»>·•,-]*")
+    rest = F.regexp_replace(line, label, F.lit(""))
+    return line.rlike(f"(?i)^[{SPACE}]*({MENU})") & ~rest.rlike(f"[^{SPACE}]") & (F.regexp_count(line, label) >= 2)
+
+
 ROW = "_row"
 
 
@@ -127,7 +139,7 @@ def judge(
             (x["marks"] > x["chars"] * max_mark_share)
             | ((x["words"] < min_line_words) & open_end)
             | (x["separators"] > x["words"] * max_separator_share)
-            | line.rlike(f"(?i)^[{SPACE}]*(({MENU})[{SPACE}|/»>·•,-]*){{2,}}$")
+            | nothing_but_labels(line)
             | ((x["words"] <= max_furniture_words) & line.rlike(f"(?i)({FURNITURE})"))
         )
 
