@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
 from strata.functions.text import as_column, contains_any_case, quoted
+from strata.session import stored
 from strata.sources.lines import POSITION
 
 # A side of a join is broadcast only if its bytes are known to stay within this.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Tasks among which the rows of a table are thought to be dealt where one key has a large part of them.
+SPREAD = 200
+# Parts that a task's share of a heavy key's rows is cut into, as the parts fall on tasks at random.
+PARTS_PER_SHARE = 16
+
 # Room for one value of a fixed size with its bookkeeping, and for one station row, whose text
 # fields come from at most 71 characters.
 VALUE_BYTES = 16
@@ -44,13 +50,45 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
 
 
 def keep_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Rows whose key occurs in ``known``, whose keys are made distinct before they are shuffled."""
-    return df.join(known.select(key).distinct(), key, "left_semi")
+    """Rows whose key occurs in ``known``."""
+    return join_spread(df, known.select(key).distinct(), key, "left_semi")
 
 
 def keep_missing(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Rows whose key does not occur in ``known``."""
-    return df.join(known.select(key).distinct(), key, "left_anti")
+    """Rows whose key does not occur in ``known``; those without a key among them."""
+    return join_spread(df, known.select(key).distinct(), key, "left_anti")
+
+
+def heavy_keys(df: DataFrame, key: str, tasks: int = SPREAD) -> DataFrame:
+    """``(key, _salts)``: keys with over their share of the rows when these are dealt to ``tasks`` tasks.
+
+    ``_salts`` says in how many parts a key's rows should be dealt. There are fewer such keys than tasks, and
+    at most ``2 * PARTS_PER_SHARE`` parts a task of all of them.
+    """
+    counts = stored(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).scalar()
+    salts = F.ceil(F.col("_n") * tasks * PARTS_PER_SHARE / F.nullif(total, F.lit(0)))
+    return counts.where(F.col("_n") * tasks > total).select(key, salts.cast("int").alias("_salts")).dropna()
+
+
+def join_spread(facts: DataFrame, keys: DataFrame, key: str, how: str, *, tasks: int = SPREAD) -> DataFrame:
+    """Join ``facts`` with the rows of ``keys`` so that no key's rows have to meet in one task.
+
+    ``keys`` is broadcast if its measured size allows it, and then the facts stay where they are. Beyond that the
+    facts' keys are counted: those with more rows than a task's share are dealt to several tasks by a salt, and
+    the rows of ``keys`` for them, few as such keys are, go to each of these. The other keys are shuffled as they
+    are, and facts without a key by the salt alone. ``how`` is ``inner``, ``left_semi`` or ``left_anti``.
+    """
+    if measured_bytes(keys) <= MAX_BROADCAST_BYTES:
+        return facts.join(F.broadcast(keys), key, how)
+    heavy = F.broadcast(stored(heavy_keys(facts, key, tasks), "heavy-keys"))
+    number = F.monotonically_increasing_id()
+    salts = F.when(F.col(key).isNull(), tasks * PARTS_PER_SHARE).otherwise(F.coalesce("_salts", F.lit(1)))
+    dealt = facts.withColumn("_number", number).join(heavy, key, "left")
+    dealt = dealt.withColumn("_salt", F.pmod("_number", salts).cast("int")).drop("_number", "_salts")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    spread = keys.join(heavy, key, "left").withColumn("_salt", copies).drop("_salts")
+    return dealt.join(stored(spread, "spread-keys"), [key, "_salt"], how).drop("_salt")
 
 
 def first_rows(df: DataFrame, count: int, order: Sequence[str] = POSITION) -> DataFrame:

@@ -35,17 +35,26 @@ def compression(sizes: DataFrame) -> DataFrame:
     )
 
 
-def reconcile(local: DataFrame, stored: DataFrame, key: str = "relative_path") -> DataFrame:
-    """One row per file of either listing: its size on each side and whether it is on both."""
-    left = local.select(key, F.col("length").alias("local_bytes"))
-    right = stored.select(key, F.col("length").alias("stored_bytes"))
+def reconcile(
+    local: DataFrame, stored: DataFrame, key: str = "relative_path", *, content: str | None = None
+) -> DataFrame:
+    """One row per file of either listing: its size on each side and whether it is on both.
+
+    Files of equal size are held to each other by the column ``content``, a digest, if it is given.
+    """
+    sides = []
+    for side, listing in (("local", local), ("stored", stored)):
+        digest = F.col(content) if content else F.lit(None).cast("string")
+        sides.append(listing.select(key, F.col("length").alias(f"{side}_bytes"), digest.alias(f"{side}_digest")))
     status = (
         F.when(F.col("stored_bytes").isNull(), "only_local")
         .when(F.col("local_bytes").isNull(), "only_stored")
         .when(F.col("local_bytes") != F.col("stored_bytes"), "size_differs")
+        .when(~F.col("local_digest").eqNullSafe(F.col("stored_digest")), "content_differs")
         .otherwise("same")
     )
-    return left.join(right, key, "full_outer").withColumn("status", status)
+    joined = sides[0].join(sides[1], key, "full_outer").withColumn("status", status)
+    return joined.drop("local_digest", "stored_digest")
 
 
 def reconciliation_counts(files: DataFrame) -> DataFrame:

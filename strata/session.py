@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # UTC decides the month a timestamp falls in; the rebase modes keep dates before 1582 unchanged;
 # adaptive execution sizes shuffles, picks broadcast sides by their measured size and splits
@@ -45,6 +45,13 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/strata/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written into the shared folder and read back, so that it is worked out once."""
+    path = shared_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _local_folder(spark: SparkSession) -> str:
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.functions.text import file_stem, plain_path
+from strata.operators.select import keep_known
 from strata.sources.lines import read_lines
 
 
@@ -113,9 +114,10 @@ def require_files(files: DataFrame) -> None:
 def read_selected_files(spark: SparkSession, files: DataFrame, roots: Sequence[str]) -> DataFrame:
     """Lines of the files in ``files``, with ``file_stem``.
 
-    The roots are read whole and lines of other files are left out by a join on the path, whatever
-    the number of files. Where few of many files are wanted, landed lines are the better source:
-    they lie in folders by prefix, of which only the wanted ones are read.
+    The roots are read whole and lines of other files are left out by a join on the path: the paths are
+    broadcast where their size allows it, and where it does not, large files are dealt to several tasks. Where few of
+    many files are wanted, landed lines are the better source: they lie in folders by prefix, of which
+    only the wanted ones are read.
     """
     present = [
         root
@@ -126,8 +128,11 @@ def read_selected_files(spark: SparkSession, files: DataFrame, roots: Sequence[s
     return of_files(lines, files)
 
 
+def of_paths(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """The lines that come from ``files``."""
+    return keep_known(lines, files.select(F.col("path").alias("file_path")), "file_path")
+
+
 def of_files(lines: DataFrame, files: DataFrame) -> DataFrame:
     """The lines that come from ``files``, with ``file_stem``."""
-    chosen = files.select(F.col("path").alias("file_path"))
-    lines = lines.join(chosen, "file_path", "left_semi")
-    return lines.withColumn("file_stem", file_stem("file_name"))
+    return of_paths(lines, files).withColumn("file_stem", file_stem("file_name"))

@@ -19,14 +19,20 @@ def read_lines(
     pattern: str | None = None,
     recursive: bool = True,
     position: bool = False,
+    raw: bool = False,
 ) -> DataFrame:
     """Lines of text files with the path and name of the file each came from.
 
+    ``raw`` lines end at line feeds only and keep all their bytes, a carriage return at their end
+    and bytes that are no text included.
+
     With ``position`` the columns of ``POSITION`` order the lines as they stand in their files.
     Spark splits files freely; within one split ``row_id`` grows line by line, so path, split
     offset and ``row_id`` together give file order without numbering lines on one task.
     """
     reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
+    if raw:
+        reader = reader.option("lineSep", "\n")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     columns = [

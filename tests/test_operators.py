@@ -281,3 +281,46 @@ def test_compression_of_empty_layers(spark):
     files = spark.createDataFrame([("bronze", 10)], "layer string, length long")
     assert tuple(storage.layer_sizes(files).first()) == (10, 0, 0)
     assert tuple(storage.compression(storage.layer_sizes(files)).first()) == (None, None)
+
+
+@pytest.mark.parametrize("how", ["left_semi", "left_anti", "inner"])
+def test_rows_of_a_hot_key_are_spread(spark, settings, monkeypatch, how):
+    """A third of the rows under one key: no task of 200 gets over three times the median."""
+    settings(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="200")
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    n = 120_000
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 9_973).cast("string"))
+    facts = spark.range(n, numPartitions=16).withColumn("key", key)
+    named = spark.range(9_973).select(F.col("id").cast("string").alias("key"), (F.col("id") % 2).alias("odd"))
+    keys = named.unionByName(spark.createDataFrame([("hot", 0)], "key string, odd bigint"))
+    if how != "inner":
+        keys = (keys if how == "left_semi" else spark.createDataFrame([("none",)], "key string")).select("key")
+    plain = facts.join(keys, "key", how)
+    monkeypatch.setattr(select, "MAX_BROADCAST_BYTES", 0)
+    spread = select.join_spread(facts, keys, "key", how)
+    assert spread.columns == plain.columns and spread.count() == plain.count()
+    assert spread.exceptAll(plain).count() == 0
+    tasks = spread.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert len(tasks) >= 195 and tasks.max() <= 3 * tasks.median()
+    assert plain.groupBy(F.spark_partition_id()).count().toPandas()["count"].max() > n / 3
+
+
+def test_rows_without_a_key_are_spread(spark, settings, monkeypatch):
+    settings(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="200")
+    monkeypatch.setattr(select, "MAX_BROADCAST_BYTES", 0)
+    facts = spark.range(30_000).withColumn("key", F.when(F.col("id") % 3 > 0, F.col("id")))
+    known = spark.range(0, 30_000, 2).withColumnRenamed("id", "key")
+    missing = select.keep_missing(facts, known, "key")
+    assert missing.where("key is null").count() == 10_000 and missing.where("key % 2 = 0").count() == 0
+    assert select.keep_known(facts, known, "key").where("key is null or key % 2 = 1").count() == 0
+    tasks = missing.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert tasks.max() <= 3 * tasks.median()
+    empty = facts.where("id < 0")
+    assert select.keep_known(empty, known, "key").count() == 0 and select.keep_missing(facts, known.where("false"), "key").count() == 30_000
+
+
+def test_heavy_keys_are_few(spark):
+    facts = spark.range(10_000).withColumn("key", F.when(F.col("id") < 6_000, 0).otherwise(F.col("id") % 500))
+    heavy = {row["key"]: row["_salts"] for row in select.heavy_keys(facts, "key", 20).collect()}
+    assert heavy == {0: 193}
+    assert select.heavy_keys(facts, "key", 2_000).count() < 2_000 and select.heavy_keys(facts.where("false"), "key").count() == 0

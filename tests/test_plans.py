@@ -243,15 +243,15 @@ def test_landing_and_its_reconciliation(spark, raw, tmp_path):
     assert {r["prefix"] for r in landing.landed_lines(spark, root, "daily").collect()} == {"ST"}
     (raw / "noaa" / "all" / "ST000000009.dly").write_text("late\n")
     checked = landing.reconcile_landing(
-        landing.list_inputs(spark, inputs), landing.landed_files(spark, root)
+        landing.source_files(spark, inputs, list(inputs)), landing.landed_files(spark, root)
     )
     assert {r["status"]: r["count"] for r in checked.groupBy("status").count().collect()} == {"same": 5, "only_local": 1}
     (raw / "noaa" / "all" / "ST000000009.dly").write_text("")
     (raw / "other.xlsx").write_text("not text")
     more = inputs | {"other": [(str(raw), "*.xlsx")]}
     landing.land_raw(spark, more, root, text_datasets=list(inputs))
-    checked = landing.reconcile_landing(landing.list_inputs(spark, more), landing.landed_files(spark, root))
-    assert {r["status"] for r in checked.collect()} == {"same"}
+    checked = landing.reconcile_landing(landing.source_files(spark, more, list(inputs)), landing.landed_files(spark, root))
+    assert {r["status"]: r["count"] for r in checked.groupBy("status").count().collect()} == {"same": 6}
     with pytest.raises(FileNotFoundError, match="absent"):
         landing.land_raw(spark, inputs, root, text_datasets=[], required=["absent"])
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata.operators.digests import differences
 from strata.operators.storage import (
     compression,
     layer_sizes,
@@ -16,7 +17,9 @@ from strata.plans.landing import (
     land_raw,
     landed_files,
     landed_lines,
+    landing_tree,
     reconcile_landing,
+    source_files,
 )
 from strata.session import shared_folder
 from strata.versions import versions
@@ -103,15 +106,55 @@ def landing_reconciled(spark, sf_dir):
     )
     write_named_files(orders, f"{root}/in", ".txt")
     inputs = {"orders": [(f"{root}/in", "*.txt")]}
-    files = land_raw(spark, inputs, f"{root}/raw", text_datasets=["orders"])
+    land_raw(spark, inputs, f"{root}/raw", text_datasets=["orders"])
     lines = landed_lines(spark, f"{root}/raw", "orders")
     lost = F.col("file_name").eqNullSafe("F.txt") & F.col("value").eqNullSafe("5-LOW")
     write_layer(lines.where(~lost), f"{root}/other", "lines", partition_by=["dataset"])
-    stored = read_layer(spark, f"{root}/raw", "files")
-    write_layer(stored, f"{root}/other", "files")
+    stored = read_layer(spark, f"{root}/raw", "digests")
+    write_layer(stored, f"{root}/other", "digests")
+    files = source_files(spark, inputs, ["orders"])
     return reconcile_landing(files, landed_files(spark, f"{root}/other"))
 
 
+@query("""
+    SELECT '/orders/stem=' || o_orderstatus AS path, count(*) AS lines,
+           sum(strlen(o_orderpriority) + 1)::BIGINT AS local_bytes,
+           sum(strlen(o_orderpriority) + 1)::BIGINT AS stored_bytes,
+           o_orderstatus <> 'F' AS same, o_orderstatus = 'F' AS opened
+    FROM orders GROUP BY o_orderstatus
+""")
+def landing_folders_compared(spark, sf_dir):
+    """Folders of input files against those landed after one letter of a line in one folder was changed."""
+    root = shared_folder(spark, "folders")
+    orders = table(spark, sf_dir, "orders")
+    text = orders.select(F.col("o_orderstatus").alias("stem"), F.col("o_orderpriority").alias("value"), "o_orderkey")
+    text.select("stem", "value").write.partitionBy("stem").text(f"{root}/in")
+    inputs = {"orders": [(f"{root}/in", "*.txt")]}
+    land_raw(spark, inputs, f"{root}/raw", text_datasets=["orders"])
+    lines = read_layer(spark, f"{root}/raw", "lines")
+    place = F.struct("file_path", "block_start", "row_id")
+    first = lines.where(F.col("file_path").contains("stem=F")).agg(F.min(place).alias("place"))
+    damaged = F.when(place == first.scalar(), F.overlay("value", F.lit("#"), F.lit(1))).otherwise(F.col("value"))
+    write_layer(lines.withColumn("value", damaged), f"{root}/other", "lines", partition_by=["dataset"])
+    write_layer(read_layer(spark, f"{root}/raw", "digests"), f"{root}/other", "digests")
+    files = source_files(spark, inputs, ["orders"])
+    local, kept = landing_tree(files), landing_tree(landed_files(spark, f"{root}/other"))
+    changed, opened = differences(local, kept)
+    folders = local.where("depth = 2").join(kept.select("path", F.col("bytes").alias("stored_bytes"), F.col("digest").alias("kept")), "path")
+    counts = files.groupBy(F.concat(F.lit("/orders/"), F.substring_index("relative_path", "/", 1)).alias("path"))
+    counts = counts.agg(F.sum("lines").alias("lines"))
+    one = changed.where("status = 'content_differs'").agg(F.count(F.lit(1)).alias("n")).scalar() == 1
+    looked_into = opened.where("path like '%=%'").select("path", F.lit(True).alias("looked_into"))
+    return folders.join(counts, "path").join(looked_into, "path", "left").select(
+        "path",
+        "lines",
+        F.col("bytes").alias("local_bytes"),
+        "stored_bytes",
+        (F.col("digest") == F.col("kept")).alias("same"),
+        (F.coalesce("looked_into", F.lit(False)) & one).alias("opened"),
+    )
+
+
 # Supplier, part and customer names as the files of three written layers.
 WRITTEN_SQL = """
     SELECT (SELECT sum(strlen(s_name) + 1) FROM supplier)::BIGINT AS bronze,
