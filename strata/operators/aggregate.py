@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strata.functions.dates import month_bucket
 from strata.functions.text import as_column
 from strata.functions.values import nan_to_null
+from strata.operators.exact import exact_mean
 
 # Names of a grid file that are coordinates, not data.
 COORDINATES = (
@@ -29,10 +30,11 @@ def mean_by(
 ) -> DataFrame:
     """Mean per key, NULLs ignored, NULL keys a group of their own.
 
-    Every task first reduces its rows to one sum and count per key, so a key that holds most of
-    the rows costs the shuffle no more than any other.
+    Every task first reduces its rows to a few sums and counts per key, so a key that holds most of
+    the rows costs the shuffle no more than any other. The sums are exact: the mean has the same bits
+    however the rows are dealt.
     """
-    return df.groupBy(*keys).agg(F.avg(value).alias(alias or value))
+    return exact_mean(df, keys, value, alias)
 
 
 def yearly_mean(df: DataFrame, time: str, value: str, alias: str) -> DataFrame:
@@ -54,7 +56,7 @@ def data_variables(grid: DataFrame, variable: str = "variable") -> DataFrame:
 
 def grid_mean(cells: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
     """Unweighted mean over all cells of a key; NaN cells are ignored, all NaN gives NULL."""
-    return cells.groupBy(*keys).agg(F.avg(nan_to_null(value)).alias(value))
+    return exact_mean(cells.withColumn(value, nan_to_null(value)), keys, value)
 
 
 def grid_mean_of_arrays(

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.exact import exact_mean
 from strata.plans.aggregated import (
     ANOMALY_SOURCE,
     ANOMALY_UNIT,
@@ -20,7 +21,8 @@ from strata.plans.aggregated import (
 )
 from strata.sinks import replace_table, write_merged
 
-# All readings as one series; those that the row number tells apart are not averaged with any other.
+# All readings as one series; those that the row number tells apart are not averaged with any other. Means of
+# the flat tables are exact sums divided, as those of the layers are; all else is written apart.
 TREND = """
     WITH readings AS (
         SELECT struct(:grid_source AS source, variable, units AS unit) AS label,
@@ -29,12 +31,9 @@ TREND = """
         SELECT struct(:anomaly_source, :anomaly_variable, :anomaly_unit), CAST(date AS DATE), anomaly,
                1 + monotonically_increasing_id() FROM {monthly} WHERE anomaly IS NOT NULL
     )
-    SELECT date, label.source, label.variable, label.unit, avg(reading) AS value
-    FROM readings GROUP BY label, date, number
+    SELECT date, label.*, number, reading AS value FROM readings
 """
 
-ANNUAL = "SELECT year, metric, avg(value) AS value FROM {carbon} GROUP BY year, metric"
-
 # The position of the first preference a name contains; 0, for none, sorts behind the others.
 CHOSEN = """
     SELECT min_by({column}, struct(
@@ -47,23 +46,23 @@ CHOSEN = """
 
 # The three series under one another, each row with its label; a year's row takes the means of the
 # labels side by side. Only years of the anomalies are shown.
+SERIES = """
+    SELECT 'anomaly' AS label, year, anomaly AS value FROM {monthly}
+    UNION ALL
+    SELECT 'grid', year(CAST(time AS TIMESTAMP)), value FROM {grid}
+    WHERE time IS NOT NULL AND variable = (FROM {grid_target})
+    UNION ALL
+    SELECT 'carbon', year, value FROM {carbon}
+    WHERE year IS NOT NULL AND metric = (FROM {carbon_target})
+"""
 JOIN = """
-    WITH series AS (
-        SELECT 'anomaly' AS label, year, anomaly AS value FROM {monthly}
-        UNION ALL
-        SELECT 'grid', year(CAST(time AS TIMESTAMP)), value FROM {grid}
-        WHERE time IS NOT NULL AND variable = (FROM {grid_target})
-        UNION ALL
-        SELECT 'carbon', year, value FROM {carbon}
-        WHERE year IS NOT NULL AND metric = (FROM {carbon_target})
-    )
     SELECT year,
-           avg(value) FILTER (WHERE label = 'anomaly') AS nasa_anomaly,
-           avg(value) FILTER (WHERE label = 'grid') AS era5_value,
-           avg(value) FILTER (WHERE label = 'carbon') AS gcb_value,
+           max(value) FILTER (WHERE label = 'anomaly') AS nasa_anomaly,
+           max(value) FILTER (WHERE label = 'grid') AS era5_value,
+           max(value) FILTER (WHERE label = 'carbon') AS gcb_value,
            (FROM {grid_target}) AS era5_variable,
            (FROM {carbon_target}) AS gcb_metric
-    FROM series
+    FROM {means}
     GROUP BY year
     HAVING count_if(label = 'anomaly') > 0
 """
@@ -81,11 +80,12 @@ def flat_trend(monthly: DataFrame, grid: DataFrame) -> DataFrame:
         "anomaly_unit": ANOMALY_UNIT,
         "grid_source": GRID_SOURCE,
     }
-    return monthly.sparkSession.sql(TREND, args=labels, monthly=monthly, grid=grid)
+    readings = monthly.sparkSession.sql(TREND, args=labels, monthly=monthly, grid=grid)
+    return exact_mean(readings, ["date", "source", "variable", "unit", "number"], "value").drop("number")
 
 
 def flat_annual(carbon: DataFrame) -> DataFrame:
-    return carbon.sparkSession.sql(ANNUAL, carbon=carbon)
+    return exact_mean(carbon, ["year", "metric"], "value")
 
 
 def flat_choice(table: DataFrame, column: str, preferences: Sequence[str]) -> DataFrame:
@@ -101,14 +101,13 @@ def flat_join(
     grid_preferences: Sequence[str] = GRID_PREFERENCES,
     carbon_preferences: Sequence[str] = CARBON_PREFERENCES,
 ) -> DataFrame:
-    return monthly.sparkSession.sql(
-        JOIN,
-        monthly=monthly,
-        grid=grid,
-        carbon=carbon,
-        grid_target=flat_choice(grid, "variable", grid_preferences),
-        carbon_target=flat_choice(carbon, "metric", carbon_preferences),
-    )
+    spark = monthly.sparkSession
+    targets = {
+        "grid_target": flat_choice(grid, "variable", grid_preferences),
+        "carbon_target": flat_choice(carbon, "metric", carbon_preferences),
+    }
+    series = spark.sql(SERIES, monthly=monthly, grid=grid, carbon=carbon, **targets)
+    return spark.sql(JOIN, means=exact_mean(series, ["label", "year"], "value"), **targets)
 
 
 def flat_daily(daily: DataFrame) -> DataFrame:

@@ -280,23 +280,17 @@ def flat_join(spark, sf_dir):
     "v(name, only_layered, only_flat)"
 )
 def layered_equals_flat(spark, sf_dir):
-    """Rows that only the layered or only the flat tables have."""
-    monthly, grid, carbon = (
-        part(spark, sf_dir) for part in (shapes.anomalies, shapes.grid, shapes.carbon)
-    )
+    """Rows that only the layered or only the flat tables have, bit by bit.
+
+    The flat side is dealt to another number of partitions, which the means must not show.
+    """
+    parts = [part(spark, sf_dir) for part in (shapes.anomalies, shapes.grid, shapes.carbon)]
+    monthly, grid, carbon = parts
+    dealt = [part.repartition(7) for part in parts]
     pairs = {
-        "annual": (
-            rounded(annual_carbon(carbon, ordered=False), "value"),
-            flat_annual(spark, sf_dir),
-        ),
-        "join": (
-            _rounded_join(multi_source_join(monthly, grid, carbon, ordered=False)),
-            flat_join(spark, sf_dir),
-        ),
-        "trend": (
-            rounded(temperature_trend(monthly, grid, ordered=False), "value"),
-            flat_trend(spark, sf_dir),
-        ),
+        "annual": (annual_carbon(carbon, ordered=False), flat_annual_table(dealt[2])),
+        "join": (multi_source_join(monthly, grid, carbon, ordered=False), flat_join_table(*dealt)),
+        "trend": (temperature_trend(monthly, grid, ordered=False), flat_trend_table(*dealt[:2])),
     }
     counts = [
         difference_counts(layered, flat).withColumn("name", F.lit(name))
@@ -310,7 +304,7 @@ def layered_equals_flat(spark, sf_dir):
     "('temp_trend', 0, 0)) v(name, only_layered, only_flat)"
 )
 def stored_layers_equal_flat_job(spark, sf_dir):
-    """The tables that the flat job writes against the stored tables of the layered jobs."""
+    """The tables that the flat job writes against the stored tables of the layered jobs, bit by bit."""
     root = shared_folder(spark, "both")
     silver, gold = f"{root}/silver", f"{root}/gold"
     parts = [part(spark, sf_dir) for part in (shapes.anomalies, shapes.grid, shapes.carbon)]
@@ -324,11 +318,8 @@ def stored_layers_equal_flat_job(spark, sf_dir):
     stored = [read_layer(spark, silver, name) for name in (ANOMALY_TABLE, GRID_TABLE, CARBON_TABLE)]
     paths = run_flat(*stored, f"{root}/flat")
 
-    def steady(table):
-        return rounded(table, *[name for name, kind in table.dtypes if kind == "double"])
-
     counts = [
-        difference_counts(steady(table), steady(spark.read.parquet(paths[name]))).withColumn("name", F.lit(name))
+        difference_counts(table, spark.read.parquet(paths[name])).withColumn("name", F.lit(name))
         for name, table in layered.items()
     ]
     return union_by_position(*counts)
