@@ -23,27 +23,48 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules, without the lines that failed them."""
+    """Documents that pass the rules, without the lines that failed them.
+
+    A NULL, empty or blank text is rejected, as it has under 20 words; a text of any length is judged whole. Rows
+    given twice pass or fail twice, and so do rows with a NULL id. An empty table stays empty.
+    """
     return _recounted(quality_rules.clean(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near-duplicates."""
+    """The document with the least id of each group of near-duplicates.
+
+    Texts without words belong to no group and stay. Of rows that share the least id of a group all stay, those
+    with a NULL id among them. Long texts are compared by all their shingles. An empty table stays empty.
+    """
     return neardup.without_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Documents that hold no item of the benchmark.
+
+    NULL and empty texts hold none, and NULL or empty items are in no document. A row goes by its id: rows that share
+    one go together, rows with a NULL id as one document. Every place of a long text is looked at; an empty table of
+    documents or items takes nothing away.
+    """
     return decontamination.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind."""
+    """All documents, with personal data replaced by its kind.
+
+    Every row stays, whatever its id and also where it is given twice. NULL texts stay NULL. Of spans that
+    overlap the one that starts first is named. An empty table stays empty.
+    """
     return _recounted(pii.redact(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token pieces of all documents, in sequences."""
+    """The token pieces of all documents, in sequences.
+
+    A NULL or empty text is the end mark alone; longer documents than a sequence are cut. Rows given twice, or with a
+    NULL id, are packed as documents of their own. An empty table gives no pieces.
+    """
     return packing.pack_documents(docs, **packing.public_files())
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,7 +44,31 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     folder, because there driver and executors share a disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or _local_folder(spark)
-    return f"{root.rstrip('/')}/strata/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/strata/{label}-{uuid.uuid4().hex}"
+    for made in _SCOPES:
+        made.append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove at the end what was written into the shared folder meanwhile.
+
+    For a job that runs a query and stores its result elsewhere: within the scope the result can be computed, behind
+    it the tables it was computed from are gone.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            location = spark._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
-from strata.session import SETTINGS, shared_folder
+from strata.session import SETTINGS, intermediates, shared_folder, stored
 
 
 class Session:
@@ -35,3 +37,17 @@ def test_local_master_gets_a_folder():
 
 def test_settings_are_applied(spark):
     assert all(spark.conf.get(key) == value for key, value in SETTINGS.items())
+
+
+def test_intermediates_are_removed(spark, tmp_path):
+    with intermediates(spark) as made:
+        rows = stored(spark.range(5), "numbers")
+        assert rows.count() == 5 and len(made) == 1
+        rows.write.parquet(str(tmp_path / "result"))
+    assert not os.path.exists(made[0].removeprefix("file:"))
+    assert spark.read.parquet(str(tmp_path / "result")).count() == 5
+    kept = stored(spark.range(3), "numbers")
+    with pytest.raises(ZeroDivisionError), intermediates(spark) as made:
+        stored(spark.range(1), "numbers")
+        raise ZeroDivisionError
+    assert not os.path.exists(made[0].removeprefix("file:")) and kept.count() == 3
