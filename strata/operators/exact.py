@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,24 +26,33 @@ LIFT = 7
 _SUMS = [f"_limb{k}" for k in range(LIMBS)]
 
 
-def _with_limbs(rows: DataFrame) -> DataFrame:
-    """Replace ``_x`` by ``place`` and limbs: it is the sum of ``_limbk * 2**(BITS * (place - k))``.
+def _limbs() -> list[Column]:
+    """``place`` and limbs of ``_x``, which is the sum of ``_limbk * 2**(BITS * (place - k))``, with the steps there.
 
-    The logarithm may miss the place by one at its edges, for which there is room in the limbs. Column by
-    column, so that every step is compiled and worked out once.
+    The logarithm may miss the place by one at its edges, for which there is room in the limbs. Every step is a
+    column that the next one names, so that it is compiled and worked out once.
     """
     x, lifted = F.col("_x"), F.col("_lifted")
     small = F.abs(x) < TINY
-    rows = rows.withColumn("_lifted", F.abs(F.when(small, x * 2.0 ** (BITS * LIFT)).otherwise(x)))
     logarithm = F.log2(F.when(lifted > 0, lifted).otherwise(1.0))
-    rows = rows.withColumn("place", F.floor(logarithm / BITS).cast("int"))
-    rows = rows.withColumn("_rest", lifted / F.pow(F.lit(2.0), F.col("place") * BITS))
-    for name in _SUMS:
-        rows = rows.withColumn(name, F.floor("_rest"))
-        rows = rows.withColumn("_rest", (F.col("_rest") - F.col(name)) * 2.0**BITS)
-    place = F.when(x.isNotNull(), F.col("place") - F.when(small, LIFT).otherwise(0))
-    signed = {name: F.when(x < 0, -F.col(name)).otherwise(F.col(name)) for name in _SUMS}
-    return rows.withColumns(signed | {"place": place}).drop("_x", "_lifted", "_rest")
+    steps = [
+        F.abs(F.when(small, x * 2.0 ** (BITS * LIFT)).otherwise(x)).alias("_lifted"),
+        F.floor(logarithm / BITS).cast("int").alias("_at"),
+        (lifted / F.pow(F.lit(2.0), F.col("_at") * BITS)).alias("_rest0"),
+    ]
+    for k, name in enumerate(_SUMS):
+        rest = F.col(f"_rest{k}")
+        steps.append(F.floor(rest).alias(f"_whole{k}"))
+        steps.append(((rest - F.col(f"_whole{k}")) * 2.0**BITS).alias(f"_rest{k + 1}"))
+        steps.append(F.when(x < 0, -F.col(f"_whole{k}")).otherwise(F.col(f"_whole{k}")).alias(name))
+    steps.append(F.when(x.isNotNull(), F.col("_at") - F.when(small, LIFT).otherwise(0)).alias("place"))
+    return steps
+
+
+@lru_cache(maxsize=4)
+def _built(context: int) -> tuple[list[Column], Column]:
+    """The steps and the total as columns, which take longer to put together than to run over few keys."""
+    return _limbs(), _total(F.col("_parts"))
 
 
 def _total(parts: Column) -> Column:
@@ -76,9 +87,12 @@ def _total(parts: Column) -> Column:
             return F.aggregate(limbs, start, step, lambda state: F.concat(F.array(state["carry"]), state["limbs"]))
 
         def nearest(limbs: Column) -> Column:
-            up = let(carried(limbs), lambda up: up)
-            down = carried(F.transform(limbs, lambda limb: -limb))
-            return let(up, lambda up: F.when(up[0] < 0, -_nearest(down, bounds["most"])).otherwise(_nearest(up, bounds["most"])))
+            def either(up: Column) -> Column:
+                down = carried(F.transform(limbs, lambda limb: -limb))
+                size = _nearest(F.when(up[0] < 0, down).otherwise(up), bounds["most"])
+                return F.when(up[0] < 0, -size).otherwise(size)
+
+            return let(carried(limbs), either)
 
         return let(F.transform(places, at), nearest)
 
@@ -127,7 +141,8 @@ def exact_sums(df: DataFrame, keys: Sequence[str | Column], value: str) -> DataF
     rows = df.select(*named, F.when(finite, x).alias("_x"), F.when(~finite, x).alias("_other"))
     names = rows.columns[: len(named)]
     quoted = [F.col(f"`{name}`") for name in names]
-    sums = _with_limbs(rows).groupBy(*quoted, "place").agg(
+    steps, total = _built(id(SparkContext._active_spark_context))
+    sums = rows.select("*", *steps).groupBy(*quoted, "place").agg(
         *[F.sum(name).alias(name) for name in _SUMS],
         F.count("place").alias("_n"),
         F.sum("_other").alias("_other"),
@@ -139,7 +154,7 @@ def exact_sums(df: DataFrame, keys: Sequence[str | Column], value: str) -> DataF
         F.sum(F.col("_n") + F.col("_others")).alias("_n"),
         F.sum("_other").alias("_other"),
     )
-    total = F.when(F.size("_parts") > 0, _total(F.col("_parts")))
+    total = F.when(F.size("_parts") > 0, total)
     return parts.select(*quoted, F.coalesce("_other", total).alias("_sum"), "_n")
 
 
