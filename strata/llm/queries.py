@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from strata.llm import (
     conversations,
     decontamination,
@@ -167,12 +166,6 @@ def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules, near-duplicates, decontamination, personal data and packing, one after the other."""
-    return corpus_pipeline.run(spark, sf_dir)
-
-
 ORACLE |= {
     "op1_suffixes": oracles.OP1,
     "op7_neardup": oracles.OP7,
@@ -182,5 +175,3 @@ ORACLE |= {
     "op11_hard_negatives": oracles.OP11,
     "op12_conversations": oracles.OP12,
 }
-if corpus_pipeline.ORACLE_SQL is not None:
-    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
