@@ -298,11 +298,11 @@ def test_rows_of_a_hot_key_are_spread(spark, settings, monkeypatch, how):
     plain = facts.join(keys, "key", how)
     monkeypatch.setattr(select, "MAX_BROADCAST_BYTES", 0)
     spread = select.join_spread(facts, keys, "key", how)
-    assert spread.columns == plain.columns and spread.count() == plain.count()
-    assert spread.exceptAll(plain).count() == 0
-    tasks = spread.groupBy(F.spark_partition_id()).count().toPandas()["count"]
-    assert len(tasks) >= 195 and tasks.max() <= 3 * tasks.median()
-    assert plain.groupBy(F.spark_partition_id()).count().toPandas()["count"].max() > n / 3
+    assert spread.columns == plain.columns
+    per_task = spread.groupBy(F.spark_partition_id()).agg(F.count("id").alias("n"), F.sum("id").alias("ids")).collect()
+    tasks = sorted(row["n"] for row in per_task)
+    assert (sum(tasks), sum(row["ids"] for row in per_task)) == (n, n * (n - 1) // 2)  # every row has its key or none has
+    assert len(tasks) >= 195 and tasks[-1] <= 3 * tasks[len(tasks) // 2]
 
 
 def test_rows_without_a_key_are_spread(spark, settings, monkeypatch):
@@ -311,12 +311,21 @@ def test_rows_without_a_key_are_spread(spark, settings, monkeypatch):
     facts = spark.range(30_000).withColumn("key", F.when(F.col("id") % 3 > 0, F.col("id")))
     known = spark.range(0, 30_000, 2).withColumnRenamed("id", "key")
     missing = select.keep_missing(facts, known, "key")
-    assert missing.where("key is null").count() == 10_000 and missing.where("key % 2 = 0").count() == 0
-    assert select.keep_known(facts, known, "key").where("key is null or key % 2 = 1").count() == 0
-    tasks = missing.groupBy(F.spark_partition_id()).count().toPandas()["count"]
-    assert tasks.max() <= 3 * tasks.median()
-    empty = facts.where("id < 0")
-    assert select.keep_known(empty, known, "key").count() == 0 and select.keep_missing(facts, known.where("false"), "key").count() == 30_000
+    per_task = missing.groupBy(F.spark_partition_id()).agg(
+        F.count("id").alias("n"), F.count("key").alias("keys"), F.count_if(F.col("key") % 2 == 0).alias("wrong")
+    ).collect()
+    tasks = sorted(row["n"] for row in per_task)
+    assert (sum(tasks), sum(row["keys"] for row in per_task), sum(row["wrong"] for row in per_task)) == (20_000, 10_000, 0)
+    assert tasks[-1] <= 3 * tasks[len(tasks) // 2]
+
+
+def test_spread_joins_of_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(select, "MAX_BROADCAST_BYTES", 0)
+    facts = spark.range(90).withColumn("key", F.when(F.col("id") % 3 > 0, F.col("id")))
+    known = spark.range(0, 90, 2).withColumnRenamed("id", "key")
+    assert sorted(row["key"] for row in select.keep_known(facts, known, "key").collect()) == [k for k in range(0, 90, 2) if k % 3]
+    assert select.keep_known(facts.where("id < 0"), known, "key").count() == 0
+    assert select.keep_missing(facts, known.where("false"), "key").count() == 90
 
 
 def test_heavy_keys_are_few(spark):
