@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import csv
+import io
 from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.functions.text import is_blank, plain_path, strip
+from strata.functions.text import strip
 from strata.functions.values import without_sentinel
 from strata.operators.select import small_side
-from strata.sources.lines import leading_lines, read_lines, without_blank_lines
+from strata.session import stored
+from strata.sources.lines import file_order, read_lines, without_blank_lines
+from strata.sources.records import read_records
 
 # The preamble's opening words and the missing mark of the monthly anomaly file.
 PREAMBLE = "Land-Ocean"
@@ -86,16 +89,8 @@ def missing_marks_to_null(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.withColumns(marked)
 
 
-def _leading_records(lines: DataFrame, count: int) -> list[list[str]]:
-    """The first records of one file; a quoted cell may go over several lines."""
-    taken = 4 * count
-    while True:
-        text = leading_lines(lines, taken)
-        records = [r for r in csv.reader(f"{line}\n" for line in text) if r[1:] or "".join(r).strip()]
-        # The last record may go on behind the lines taken, unless there are no more of them.
-        if len(records) > count or len(text) < taken:
-            return records[:count]
-        taken *= 2
+# A record without a cell that says anything: nothing but white space, quoted or not.
+NO_CELLS = r'^\s*+("\s*+"\s*+)?$'
 
 
 def read_sheet_csv(
@@ -103,24 +98,17 @@ def read_sheet_csv(
 ) -> DataFrame:
     """One sheet exported as CSV; ``header_row`` rows of text above the header are dropped.
 
-    Cells and header names may hold line breaks within quotes, so a file is one task's work, as a
-    sheet is small. Title rows and header are dropped by their place in the file.
+    Cells and header names may hold line breaks within quotes; ``read_records`` finds the records of a file in all of its
+    splits at once. Blank records do not count, and title rows and header are dropped by their place in each
+    file; names come from the first. Rows come in file order. A quote that is never closed is an error.
     """
-    head = _leading_records(read_lines(spark, paths, position=True), header_row + 1)
-    if len(head) <= header_row:
+    records = read_records(read_lines(spark, paths, position=True, raw=True)).where(~F.col("value").rlike(NO_CELLS))
+    leading = stored(leading_rows(records, header_row + 1), "leading-records")
+    header = leading.where(F.col("line") == header_row + 1).orderBy("file_path").first()
+    if header is None:
         raise ValueError(f"no header row {header_row} in {paths}")
-    names = unique_names(head[header_row])
-    cells = [f"_c{index}" for index in range(len(names))]
-    reader = spark.read.schema(", ".join(f"{cell} string" for cell in cells))
-    rows = reader.options(multiLine=True, escape='"', recursiveFileLookup=True).csv(paths)
-    rows = rows.select(
-        *cells,
-        plain_path("_metadata.file_path").alias("file_path"),
-        F.lit(0).alias("block_start"),
-        F.monotonically_increasing_id().alias("row_id"),
-    )
-    # A blank line has white space in its first cell and no others; an empty cell reads as NULL.
-    others = F.coalesce(*cells[1:], F.lit(None).cast("string"))
-    rows = rows.where(~(F.col(cells[0]).isNotNull() & is_blank(cells[0]) & others.isNull()))
-    dropped = leading_rows(rows, header_row + 1)
-    return without_rows(rows, dropped).select(*cells).toDF(*names)
+    names = unique_names(next(csv.reader(io.StringIO(header["value"], newline=""))))
+    layout = ", ".join(f"_c{index} string" for index in range(len(names)))
+    cells = F.from_csv("value", layout, {"mode": "PERMISSIVE", "escape": '"', "lineSep": "\n"})
+    rows = without_rows(records, leading).orderBy(*file_order())
+    return rows.select(cells.alias("cells")).select("cells.*").toDF(*names)
