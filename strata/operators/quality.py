@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,9 +24,19 @@ def _sum(columns: Sequence[Column]) -> Column:
     return total
 
 
-def _shares(df: DataFrame, complete: Column, valid: Column, cells: Column) -> DataFrame:
+class Counts(NamedTuple):
+    """Aggregates over rows that add up over parts of a table: cells there are and that hold, and all of them."""
+
+    complete: Column
+    valid: Column
+    cells: Column
+
+
+def shares(df: DataFrame, counts: Counts) -> DataFrame:
+    """One row ``(completeness, validity)``."""
     return df.agg(
-        share(complete, cells).alias("completeness"), share(valid, cells).alias("validity")
+        share(counts.complete, counts.cells).alias("completeness"),
+        share(counts.valid, counts.cells).alias("validity"),
     )
 
 
@@ -33,29 +44,32 @@ def in_range(column: Column, lowest: float, highest: float) -> Column:
     return column.between(lowest, highest)
 
 
-def wide_quality(
+def wide_counts(
     wide: DataFrame,
     columns: Sequence[str],
     lowest: float = LOWEST_ANOMALY,
     highest: float = HIGHEST_ANOMALY,
-) -> DataFrame:
-    """Shares over all cells of several text columns: present, and numeric within a range."""
+) -> Counts:
+    """All cells of several text columns: present, and numeric within a range."""
     cells = F.count(F.lit(1)) * F.lit(len(columns))
     present = _sum([F.count(quoted(name)) for name in columns])
     values = [as_number(wide, name) for name in columns]
     valid = _sum([F.count_if(in_range(value, lowest, highest)) for value in values])
-    return _shares(wide, present, valid, cells)
+    return Counts(present, valid, cells)
 
 
-def range_quality(
-    df: DataFrame,
-    value: str,
-    lowest: float = LOWEST_ANOMALY,
-    highest: float = HIGHEST_ANOMALY,
-) -> DataFrame:
-    """Shares over the rows: value present, and within a range; NULL counts as invalid."""
-    rows = F.count(F.lit(1))
-    return _shares(df, F.count(value), F.count_if(in_range(F.col(value), lowest, highest)), rows)
+def wide_quality(wide: DataFrame, columns: Sequence[str], *bounds: float) -> DataFrame:
+    return shares(wide, wide_counts(wide, columns, *bounds))
+
+
+def range_counts(value: str, lowest: float = LOWEST_ANOMALY, highest: float = HIGHEST_ANOMALY) -> Counts:
+    """Rows with the value present, and within a range; NULL counts as invalid."""
+    within = F.count_if(in_range(F.col(value), lowest, highest))
+    return Counts(F.count(value), within, F.count(F.lit(1)))
+
+
+def range_quality(df: DataFrame, value: str, *bounds: float) -> DataFrame:
+    return shares(df, range_counts(value, *bounds))
 
 
 def numeric_quality(df: DataFrame) -> DataFrame:
@@ -63,21 +77,28 @@ def numeric_quality(df: DataFrame) -> DataFrame:
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     cells = F.count(F.lit(1)) * F.lit(len(names))
     present = _sum([F.count(nan_to_null(quoted(name))) for name in names])
-    return _shares(df, present, present, cells)
+    return shares(df, Counts(present, present, cells))
+
+
+def presence_counts(value: str) -> Counts:
+    """Rows with a value, as complete and as valid ones."""
+    return Counts(F.count(value), F.count(value), F.count(F.lit(1)))
 
 
 def presence_quality(df: DataFrame, value: str) -> DataFrame:
-    """Share of rows with a value, as completeness and as validity."""
-    present = F.count(value)
-    return _shares(df, present, present, F.count(F.lit(1)))
+    return shares(df, presence_counts(value))
 
 
-def predicate_quality(df: DataFrame, value: Column, *others: Column) -> DataFrame:
+def predicate_counts(value: Column, *others: Column) -> Counts:
     """Completeness: ``value`` holds. Validity: ``value`` and all ``others`` hold."""
     valid = value
     for other in others:
         valid = valid & other
-    return _shares(df, F.count_if(value), F.count_if(valid), F.count(F.lit(1)))
+    return Counts(F.count_if(value), F.count_if(valid), F.count(F.lit(1)))
+
+
+def predicate_quality(df: DataFrame, value: Column, *others: Column) -> DataFrame:
+    return shares(df, predicate_counts(value, *others))
 
 
 def _parses(df: DataFrame, name: str, parse: Callable[[Column], Column]) -> Column:
@@ -89,26 +110,32 @@ def _parses(df: DataFrame, name: str, parse: Callable[[Column], Column]) -> Colu
     return parse(text).isNotNull()
 
 
-def grid_quality(df: DataFrame) -> DataFrame:
+def grid_counts(df: DataFrame) -> Counts:
     """Value numeric; valid if also the time parses and the variable is known."""
-    return predicate_quality(
-        df,
+    return predicate_counts(
         as_number(df, "value").isNotNull(),
         _parses(df, "time", F.try_to_timestamp),
         F.col("variable").isNotNull(),
     )
 
 
-def daily_quality(df: DataFrame, elements: Sequence[str]) -> DataFrame:
+def grid_quality(df: DataFrame) -> DataFrame:
+    return shares(df, grid_counts(df))
+
+
+def daily_counts(df: DataFrame, elements: Sequence[str]) -> Counts:
     """Value numeric; valid if also the date parses and the element is one of ``elements``."""
-    return predicate_quality(
-        df,
+    return predicate_counts(
         as_number(df, "value").isNotNull(),
         _parses(df, "date", F.try_to_date),
         F.coalesce(F.col("element").isin(list(elements)), F.lit(False)),
     )
 
 
+def daily_quality(df: DataFrame, elements: Sequence[str]) -> DataFrame:
+    return shares(df, daily_counts(df, elements))
+
+
 def score() -> Column:
     return F.lit(0.5) * F.col("completeness") + F.lit(0.5) * F.col("validity")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
@@ -21,6 +21,11 @@ SPREAD = 200
 # Parts that a task's share of a heavy key's rows is cut into, as the parts fall on tasks at random.
 PARTS_PER_SHARE = 16
 
+# So many first rows are merged in one task.
+FEW_ROWS = 10_000
+# Bits of a row's number within its partition, in Spark's increasing ids.
+ROW_BITS = 33
+
 # Room for one value of a fixed size with its bookkeeping, and for one station row, whose text
 # fields come from at most 71 characters.
 VALUE_BYTES = 16
@@ -91,9 +96,33 @@ def join_spread(facts: DataFrame, keys: DataFrame, key: str, how: str, *, tasks:
     return dealt.join(stored(spread, "spread-keys"), [key, "_salt"], how).drop("_salt")
 
 
+def with_place(df: DataFrame, order: Sequence[str], name: str = "place") -> DataFrame:
+    """Number the rows from 1 in an order without bringing them together in one task.
+
+    The rows are sorted in ranges and written; a row's place is its number in its range and the count of rows in the
+    ranges before, of which there is one for each task. Rows that tie get consecutive places in any order; as
+    a range cannot part them, the last of ``order`` should tell rows apart. NULLs come first.
+    """
+    number = F.monotonically_increasing_id()
+    ranged = stored(df.orderBy(*order).select("*", number.alias("_number")), "placed-rows")
+    part = F.shiftright("_number", ROW_BITS)
+    counts = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    placed = ranged.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    place = F.col("_before") + F.col("_number").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) + 1
+    return placed.select(*[quoted(column) for column in df.columns], place.alias(name))
+
+
 def first_rows(df: DataFrame, count: int, order: Sequence[str] = POSITION) -> DataFrame:
-    """The first ``count`` rows in file order; each task keeps only ``count`` candidates."""
-    return df.orderBy(*order).limit(count)
+    """The first ``count`` rows in file order, or another one.
+
+    Up to ``FEW_ROWS`` each task keeps its first ones and one task merges them. Beyond that rows are numbered
+    by ``with_place``, and each task keeps those of its range that are among the first.
+    """
+    if count <= FEW_ROWS:
+        return df.orderBy(*order).limit(count)
+    return with_place(df, order, "_place").where(F.col("_place") <= count).drop("_place")
 
 
 def last_row_per_key(df: DataFrame, key: str, order: Sequence[str] = POSITION) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +12,15 @@ from strata import schemas
 from strata.functions.dates import MONTH_NAMES
 from strata.functions.text import human_size
 from strata.operators.quality import (
+    Counts,
+    daily_counts,
     daily_quality,
+    grid_counts,
     grid_quality,
     numeric_quality,
+    presence_counts,
     presence_quality,
+    range_counts,
     range_quality,
     score_table,
     scored,
@@ -23,6 +28,7 @@ from strata.operators.quality import (
     with_overall,
 )
 from strata.operators.report import report_rows
+from strata.operators.states import refresh_states, shares_of_states
 from strata.operators.storage import compression, layer_sizes
 from strata.sinks import write_metrics
 from strata.sources.files import manifest_if_present
@@ -57,6 +63,31 @@ def quality_scores(
     return with_overall(reduce(DataFrame.unionByName, rows))
 
 
+def silver_counts(elements: Sequence[str] = ELEMENTS) -> dict[str, Callable[[DataFrame], Counts]]:
+    """What is counted in the files of each cleaned table."""
+    return {
+        "nasa": lambda df: range_counts("anomaly"),
+        "gcb": lambda df: presence_counts("value"),
+        "era5": grid_counts,
+        "noaa": lambda df: daily_counts(df, elements),
+    }
+
+
+def refreshed_scores(
+    spark: SparkSession, folders: Mapping[str, str], root: str, *, elements: Sequence[str] = ELEMENTS
+) -> DataFrame:
+    """``(dataset, layer, score)`` of stored cleaned tables, reading only files that no run before has counted.
+
+    ``folders`` names the folder of data files of each dataset; the counts are kept below ``root``.
+    """
+    counts = silver_counts(elements)
+    rows = []
+    for dataset, folder in folders.items():
+        states = refresh_states(spark, folder, root, dataset, counts[dataset])
+        rows.append(scored(shares_of_states(states), dataset, "silver"))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def layer_files(spark: SparkSession, roots: Mapping[str, str]) -> DataFrame:
     """Files of the bronze, silver and gold folders with their layer."""
     listings = [

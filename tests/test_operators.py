@@ -112,6 +112,25 @@ def test_first_rows_and_last_duplicate(spark):
     assert rows(select.last_row_per_key(first, "station_id").select("station_id", "lat")) == [("a", 3.0), ("b", 2.0)]
 
 
+def test_places_and_many_first_rows(spark, monkeypatch, settings):
+    """Ties, NULLs, several partitions and a column with the name of a helper; no task gets over its share."""
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    settings(spark__sql__files__maxPartitionBytes="1000", spark__sql__files__openCostInBytes="1000")
+    values = [None if i % 50 == 0 else i % 7 for i in range(4000)]
+    df = spark.createDataFrame([(v, i, "x") for i, v in enumerate(values)], "k int, i int, `a.b` string").repartition(13)
+    placed = select.with_place(df, ["k", "i"])
+    expected = sorted(range(4000), key=lambda i: (values[i] is not None, values[i] or 0, i))
+    assert [r["i"] for r in sorted(placed.collect(), key=lambda r: r["place"])] == expected
+    assert {r["place"] for r in select.with_place(df, ["k"]).collect()} == set(range(1, 4001))
+    assert select.with_place(df.where("i < 0"), ["i"]).isEmpty()
+    monkeypatch.setattr(select, "FEW_ROWS", 10)
+    half = select.first_rows(df, 2000, ["k", "i"])
+    assert sorted(r["i"] for r in half.collect()) == sorted(expected[:2000]) and half.columns == df.columns
+    tasks = half.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < 1000
+    assert select.first_rows(df, 9000, ["i"]).count() == 4000
+
+
 def test_small_side_is_broadcast_only_within_the_bound(spark, monkeypatch):
     facts, names = spark.range(10), spark.range(5).withColumnRenamed("id", "k")
 

@@ -34,7 +34,7 @@ def random_rows(seed, count):
 @pytest.mark.parametrize("size", ["3", "64", "5000000"])
 @pytest.mark.parametrize("ending", ["\n", "\r\n"])
 def test_sheet_equals_the_parser_at_every_split(spark, tmp_path, settings, size, ending):
-    rows = random_rows(int(size), 12 if int(size) < 10 else 300)
+    rows = random_rows(int(size), 6 if int(size) < 10 else 200)
     settings(spark__sql__files__maxPartitionBytes=size, spark__sql__files__openCostInBytes="1")
     path = tmp_path / "s.csv"
     path.write_bytes(sheet_text([["k", "a\nb", "c", "d"], *rows], ending).encode())

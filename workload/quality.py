@@ -11,12 +11,14 @@ from strata.operators.quality import (
     grid_quality,
     numeric_quality,
     presence_quality,
+    range_counts,
     range_quality,
     score,
     score_table,
     wide_quality,
 )
 from strata.operators.slots import decode_daily_lines
+from strata.operators.states import refresh_states, shares_of_states
 from strata.plans.cleaned import DAILY_TABLE, clean_anomalies, clean_carbon, clean_grid
 from strata.plans.evaluation import quality_scores
 from strata.session import shared_folder
@@ -197,3 +199,25 @@ SCORES_SQL = f"""
 """)
 def quality_overall(spark, sf_dir):
     return rounded(score_table(scores(spark, sf_dir)), "raw_score", "silver_score", digits=6)
+
+
+@query("""
+    SELECT round(count(*) FILTER (l_quantity > 5) / count(*), 6) AS completeness,
+           round(count(*) FILTER (l_quantity BETWEEN 10 AND 40) / count(*), 6) AS validity,
+           0::BIGINT AS counted_again
+    FROM lineitem
+""")
+def quality_after_added_files(spark, sf_dir):
+    """Quantities in a folder that got its returned items later: counts of the earlier files are kept."""
+    root = shared_folder(spark, "states")
+    items = table(spark, sf_dir, "lineitem")
+    quantity = F.when(F.col("l_quantity") > 5, F.col("l_quantity").cast("double")).alias("quantity")
+    returned = F.col("l_returnflag") == "R"
+    path, counts = f"{root}/items", lambda df: range_counts("quantity", 10.0, 40.0)
+    items.where(~returned).select(quantity).write.parquet(path)
+    first = refresh_states(spark, path, f"{root}/states", "items", counts).select("path").collect()
+    items.where(returned).select(quantity).write.mode("append").parquet(path)
+    states = refresh_states(spark, path, f"{root}/states", "items", counts)
+    again = F.count_if(F.col("path").isin([row["path"] for row in first]) & (F.col("run") > 1))
+    result = shares_of_states(states).withColumn("counted_again", states.agg(again).scalar())
+    return rounded(result, *SHARES, digits=6)

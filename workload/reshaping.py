@@ -13,10 +13,10 @@ from strata.operators.reshape import (
     snake_case_columns,
     unpivot_columns,
 )
-from strata.operators.select import choose_match
+from strata.operators.select import choose_match, with_place
 from strata.plans.cleaned import choose_sheet, clean_anomalies, run_anomalies, run_carbon
 from strata.session import shared_folder
-from strata.sources.delimited import missing_marks_to_null, read_anomaly_csv
+from strata.sources.delimited import missing_marks_to_null, read_anomaly_csv, read_sheet_csv
 from strata.sources.tables import with_source_file
 from workload import shapes
 from workload.registry import query
@@ -244,3 +244,30 @@ def sheet_choice_first(spark, sf_dir):
         F.col("page_id").alias("position"), F.col("url").alias("sheet")
     )
     return choose_sheet(sheets)
+
+
+@query("""
+    SELECT conv_id, turn, md5(role || replace(text, ' ', chr(10)) || '"') AS said FROM conversations
+""")
+def sheet_with_line_breaks(spark, sf_dir):
+    """Conversations exported as a sheet whose cells hold line breaks, commas and quotes, read back."""
+    root = shared_folder(spark, "breaks")
+    said = F.concat("role", F.replace("text", F.lit(" "), F.lit("\n")), F.lit('"'))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", said.alias("said"))
+    rows.write.options(header=True, escape='"').csv(root)
+    sheet = read_sheet_csv(spark, root)
+    kinds = {name: F.col(name).cast(rows.schema[name].dataType) for name in ("conv_id", "turn")}
+    return sheet.withColumns(kinds | {"said": F.md5("said")})
+
+
+@query("""
+    SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority DESC, o_orderkey) AS place FROM orders
+    QUALIFY place <= (SELECT count(*) // 2 FROM orders)
+""")
+def first_half_of_orders(spark, sf_dir):
+    """The first half of the orders by priority, numbered without a task that sees all of them."""
+    orders = table(spark, sf_dir, "orders")
+    rank = -F.ascii("o_orderpriority")
+    ranked = orders.select("o_orderkey", rank.alias("rank"))
+    half = orders.agg(F.expr("count(1) div 2")).scalar()
+    return with_place(ranked, ["rank", "o_orderkey"]).where(F.col("place") <= half).select("o_orderkey", "place")
