@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from strata.session import shared_folder
 
+# Of this many tasks none should have to take the rows of one key on its own: keys with more than a task's share of the
+# rows are heavy, so there are fewer heavy keys than this.
+SHARES = 200
+
 # Rows that one window or one task is meant to hold at most.
 ROWS_PER_GROUP = 4_000
 
@@ -22,6 +26,20 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_facts(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """Left join of ``rows`` with at most one row of ``facts`` for each key, wherever the rows of heavy keys lie.
+
+    Facts of heavy keys, fewer than ``SHARES``, are broadcast, and their rows stay where they are; the others are
+    shuffled by key. Both sides are read more than once, so they should be settled. Rows without a key get no facts.
+    """
+    counts = settle(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).scalar()
+    heavy = settle(counts.where(F.col(key).isNotNull() & (F.col("_n") * SHARES > total)).select(key), "heavy-keys")
+    few = F.broadcast(heavy)
+    dealt = rows.join(few, key, "left_semi").join(F.broadcast(facts.join(few, key, "left_semi")), key, "left")
+    return rows.join(few, key, "left_anti").join(facts, key, "left").unionByName(dealt)
+
+
 def text_or_empty(name: str = "text") -> Column:
     """The text column, NULL counting as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

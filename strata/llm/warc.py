@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.common import join_facts, settle
+
 # The alphabet of RFC 4648 base 32, and the profile of a revisit record.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -73,7 +75,8 @@ def write_archive(
 
     Of records with equal payloads of at least ``min_bytes`` bytes the one with the smallest id is a
     response, the others revisit it. Payloads are deflated before they are shuffled, and copies are
-    merged by a partial aggregate, so a payload that a third of all pages share moves once per task.
+    merged by a partial aggregate, so a payload that a third of all pages share moves once per task; what its pages
+    have to know of it goes to them by broadcast.
 
     A NULL payload is an empty one, a NULL url an empty target; line ends within a url are
     percent-encoded. A NULL id sorts after all others. Rows that share the smallest id are all
@@ -90,8 +93,9 @@ def write_archive(
         F.sha1(payload).alias("sha1"),
         F.octet_length(payload).cast("long").alias("bytes"),
     )
-    firsts = thin.groupBy("address").agg(F.min("id").alias("first"))
-    known = thin.join(firsts, "address")
+    thin = settle(thin, "records")
+    firsts = settle(thin.groupBy("address").agg(F.min("id").alias("first")), "first-records")
+    known = join_facts(thin, firsts, "address")
     original = F.col("id").eqNullSafe(F.col("first")) | (F.col("bytes") < min_bytes)
     url = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     header = F.concat(
@@ -160,7 +164,7 @@ def resolve(spark: SparkSession, folder: str) -> DataFrame:
 
     Response records are rebuilt from header and payload; a revisit record takes size and digest from
     the rebuilt response with the same address, so no payload is copied for it. A digest that differs
-    from the one in the record's header gives ``intact = false``.
+    from the one in the record's header gives ``intact = false``. An empty archive gives no records.
     """
     rebuilt = read_responses(spark, folder).select(
         "address",
@@ -170,16 +174,13 @@ def resolve(spark: SparkSession, folder: str) -> DataFrame:
     facts = rebuilt.groupBy("address").agg(
         F.first("payload_bytes").alias("payload_bytes"), F.first("payload_digest").alias("payload_digest")
     )
-    return (
-        read_headers(spark, folder)
-        .join(facts, "address", "left")
-        .select(
-            "id",
-            "url",
-            "payload_bytes",
-            "payload_digest",
-            "record_type",
-            "refers_to",
-            F.coalesce(F.col("payload_digest") == F.col("digest"), F.lit(False)).alias("intact"),
-        )
+    headers = read_headers(spark, folder).drop("header")
+    return join_facts(headers, settle(facts, "payload-facts"), "address").select(
+        "id",
+        "url",
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+        F.coalesce(F.col("payload_digest") == F.col("digest"), F.lit(False)).alias("intact"),
     )
