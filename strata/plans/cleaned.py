@@ -27,7 +27,7 @@ from strata.operators.select import (
     small_side,
 )
 from strata.operators.slots import decode_daily_lines
-from strata.session import shared_folder
+from strata.session import shared_folder, stored
 from strata.sinks import write_layer
 from strata.sources.delimited import read_anomaly_csv, read_sheet_csv
 from strata.sources.files import of_files, read_selected_files, require_files, station_files
@@ -169,7 +169,7 @@ def run_daily(
     stations = spark.read.parquet(write_layer(stations, shared_folder(spark, "stations"), "selected"))
     require_rows(stations, "no station matches the box and the inventory")
     ids = stations.select(F.col("station_id").alias("stem"))
-    files = keep_known(station_files(spark, roots), ids, "stem")
+    files = stored(keep_known(station_files(spark, roots), ids, "stem"), "station-files")
     missing = keep_missing(ids, files, "stem").withColumnRenamed("stem", "station_id")
     require_files(files)
     if landed is None:

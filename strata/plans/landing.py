@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas
+from strata.functions.text import base_name
 from strata.operators.digests import file_digests, tree
 from strata.operators.storage import reconcile
 from strata.sinks import read_layer, write_layer
@@ -19,8 +20,8 @@ LINES = "lines"
 FILES = "files"
 DIGESTS = "digests"
 
-# Parts that the lines of one prefix are dealt to before they are written.
-PARTS_PER_PREFIX = 16
+# Bytes of the files of one prefix whose lines are dealt to one part before they are written.
+PART_BYTES = 32 * 1024 * 1024
 
 # Per dataset the places its files may be in, each a root and a file pattern.
 Inputs = Mapping[str, Sequence[tuple[str, str]]]
@@ -83,6 +84,17 @@ def source_files(
     return with_digests(new, file_digests(lines)).unionByName(old)
 
 
+def _dealt(lines: DataFrame, files: DataFrame, prefix_length: int) -> DataFrame:
+    """Lines dealt by dataset and prefix, those of a prefix of over ``PART_BYTES`` to a task for as many bytes."""
+    key = ["dataset", "prefix"]
+    prefix = F.substring(base_name("path"), 1, prefix_length).alias("prefix")
+    parts = F.ceil(F.sum("length") / PART_BYTES).cast("int")
+    large = files.groupBy("dataset", prefix).agg(parts.alias("_parts")).where("_parts > 1")
+    joined = lines.join(F.broadcast(large), key, "left")
+    part = F.pmod(F.xxhash64("file_path", "row_id"), F.coalesce("_parts", F.lit(1)))
+    return joined.withColumn("_part", part).repartition(*key, "_part").select(*lines.columns)
+
+
 def land_raw(
     spark: SparkSession,
     inputs: Inputs,
@@ -99,8 +111,8 @@ def land_raw(
     byte for byte (``landed_bytes``). They are written by the tasks that read them, without a shuffle, so neither a large
     file nor a large dataset gathers in one task. With ``prefix_length`` the lines are also
     partitioned by the first characters of the file name, which lets later scans of few stations
-    skip the rest; they are then dealt by prefix and a few parts of it, so that a folder gets few
-    files and a prefix with most of the lines is still written by several tasks.
+    skip the rest; they are then dealt by prefix, and a prefix with many bytes in parts, so that a folder
+    gets few files and a prefix with most of the lines is still written by several tasks.
 
     The digests of what was landed are stored beside the lines (``DIGESTS``).
     """
@@ -112,9 +124,8 @@ def land_raw(
     if texts:
         landed = reduce(DataFrame.unionByName, texts)
         if prefix_length:
-            part = F.pmod(F.xxhash64("file_path", "row_id"), F.lit(PARTS_PER_PREFIX))
             landed = landed.withColumn("prefix", F.substring("file_name", 1, prefix_length))
-            landed = landed.repartition("dataset", "prefix", part)
+            landed = _dealt(landed, stored.where(F.col("dataset").isin(*text_datasets)), prefix_length)
         write_layer(landed, raw_root, LINES, partition_by=partitions)
         digests = file_digests(read_layer(spark, raw_root, LINES))
         texts = stored.where(F.col("dataset").isin(*text_datasets))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strata import schemas
 from strata.functions.text import file_stem, plain_path
 from strata.operators.select import keep_known
+from strata.session import stored
 from strata.sources.lines import read_lines
 
 
@@ -29,12 +30,15 @@ def manifest(
         .load(root)
         .select("path", "length", "modificationTime")
     )
-    indexed = spark.createDataFrame([(path,) for path in files.inputFiles()], "indexed string")
-    # The index writes an empty host as three slashes, the rows write one.
-    plain = F.regexp_replace(plain_path("indexed"), "^([a-z0-9]+):///", "$1:/")
-    indexed = indexed.select(plain.alias("path"))
-    empty = indexed.join(files.select("path"), "path", "left_anti")
-    files = files.unionByName(empty.withColumn("length", F.lit(0).cast("long")), allowMissingColumns=True)
+    # Listed once; every use of the rows would otherwise ask for the state of every file again.
+    names, files = files._jdf.inputFiles(), stored(files, "listing")
+    if len(names) != files.count():
+        indexed = spark.createDataFrame([(path,) for path in names], "indexed string")
+        # The index writes an empty host as three slashes, the rows write one.
+        plain = F.regexp_replace(plain_path("indexed"), "^([a-z0-9]+):///", "$1:/")
+        indexed = indexed.select(plain.alias("path"))
+        empty = indexed.join(files.select("path"), "path", "left_anti")
+        files = files.unionByName(empty.withColumn("length", F.lit(0).cast("long")), allowMissingColumns=True)
     below = root.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
     start = F.locate(below, F.col("path")) + F.lit(len(below))
     relative = F.col("path").substr(start, F.length("path"))

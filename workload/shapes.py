@@ -5,6 +5,11 @@ The tables hold no NULLs, NaNs or sentinels, so the shapes put some in by value.
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -239,9 +244,21 @@ def encoded_daily_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(status == "O", "PRCP")
         .otherwise("SNOW")
     )
+    day = F.to_date("l_shipdate")
+    month = ["l_suppkey", "element", "month"]
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey",
+        element.alias("element"),
+        F.trunc(day, "MM").alias("month"),
+        F.dayofmonth(day).alias("day"),
+        "l_quantity",
+        "l_discount",
+        "l_tax",
+    )
+    # Rows are dealt by month once, which serves the days of a month as well as the month.
     days = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_suppkey", element.alias("element"), F.to_date("l_shipdate").alias("d"))
+        items.repartition(*month)
+        .groupBy(*month, "day")
         .agg(
             F.max("l_quantity").alias("quantity"),
             F.max("l_discount").alias("discount"),
@@ -258,10 +275,8 @@ def encoded_daily_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("S"),
     )
     # A month has at most 31 days, so the list below is bounded.
-    months = days.groupBy("l_suppkey", "element", F.trunc("d", "MM").alias("month")).agg(
-        F.array_sort(
-            F.collect_list(F.struct(F.dayofmonth("d").alias("day"), slot.alias("slot")))
-        ).alias("slots")
+    months = days.groupBy(*month).agg(
+        F.array_sort(F.collect_list(F.struct("day", slot.alias("slot")))).alias("slots")
     )
 
     def at_day(text: Column, day: Column, slot: Column) -> Column:
@@ -285,18 +300,70 @@ def encoded_daily_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_named_files(lines: DataFrame, root: str, suffix: str, *, ordered: bool = False) -> None:
     """``value`` of the rows with one ``stem`` as the file ``root/stem + suffix``.
 
-    Spark names files by itself, so each stem is written as a folder with one file, which is then
-    moved. Only for inputs of few files. ``ordered`` rows are dealt and sorted by stem already.
+    Names are escaped as those of Spark's partition folders are. In a folder that is a path of its own, the tasks
+    write the files under their names, and nothing is done per file by the driver. In another store, which only
+    Spark reaches, each stem is written as a folder with one file, which is then moved; only for few files.
+    ``ordered`` rows are dealt and sorted by stem already.
     """
     spark = lines.sparkSession
     kept = lines.select("stem", "value")
-    kept = kept if ordered else kept.repartition("stem")
-    kept.write.partitionBy("stem").text(f"{root}-by-stem")
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path
     system = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(path(root))
+    if system.getScheme() == "file":
+        name = F.coalesce(F.nullif(F.col("stem").cast("string"), F.lit("")), F.lit(NO_STEM))
+        kept = kept.select(name.alias("stem"), F.col("value").cast("string"))
+        if not ordered:
+            # A given number of parts: adaptive execution would merge parts of few bytes and many files.
+            parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            kept = kept.repartition(parts, "stem").sortWithinPartitions("stem")
+        write = _file_writer(path(root).toUri().getPath(), suffix)
+        kept.mapInArrow(write, "files long").agg(F.sum("files")).collect()
+        return
+    kept = kept if ordered else kept.repartition("stem")
+    kept.write.partitionBy("stem").text(f"{root}-by-stem")
     for found in system.globStatus(path(f"{root}-by-stem/stem=*/part-*")):
         stem = found.getPath().getParent().getName().removeprefix("stem=")
         system.rename(found.getPath(), path(f"{root}/{stem}{suffix}"))
     system.delete(path(f"{root}-by-stem"), True)
+
+
+# Spark's folder name for rows without a value of the partition column, and what it escapes in others.
+NO_STEM = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPED = re.compile("[\x01-\x1f\x7f\"#%'*/:=?\\\\{\\[\\]^]")
+
+
+def _file_writer(folder: str, suffix: str) -> Callable[[Iterator], Iterator]:
+    """A task's function that writes sorted ``(stem, value)`` rows as files, with one of them open at a time.
+
+    A file gets its name when it is whole, so that a task that is run again replaces it.
+    """
+
+    def write(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        stem, file, draft, files = None, None, f"{folder}/.{uuid.uuid4().hex}.part", 0
+
+        def close() -> None:
+            file.close()
+            escaped = _ESCAPED.sub(lambda found: f"%{ord(found.group()):02X}", stem)
+            os.replace(draft, f"{folder}/{escaped}{suffix}")
+
+        for batch in batches:
+            runs = pc.run_end_encode(batch.column(0))
+            start = 0
+            for end, name in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
+                if name != stem:
+                    if file:
+                        close()
+                    stem, file, files = name, open(draft, "wb"), files + 1
+                values = batch.column(1).slice(start, end - start).to_pylist()
+                file.write("".join([(value or "") + "\n" for value in values]).encode())
+                start = end
+        if file:
+            close()
+        yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int64())})
+
+    return write
