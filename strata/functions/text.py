@@ -23,8 +23,11 @@ def quoted(name: str) -> str:
 
 
 def strip(column: Column | str) -> Column:
-    """Remove white space of any kind at both ends (plain ``trim`` removes only blanks)."""
-    return F.btrim(as_column(column), F.lit(WHITESPACE))
+    """Remove white space of any kind at both ends (plain ``trim`` removes only blanks).
+
+    Blanks, which are most of it, go first: a search among several characters costs far more for each of them.
+    """
+    return F.btrim(F.trim(as_column(column)), F.lit(WHITESPACE))
 
 
 def blank_to_null(column: Column | str) -> Column:

@@ -101,12 +101,15 @@ def decode_daily_lines(
     columns = ["station_id", "element", "first_day", *keep]
     slots = explode_slots(existing, columns, days=days_in_month(F.col("first_day")))
     # Most slots are blank, so the cheapest test for that comes first.
-    slots = slots.withColumns(slot_fields()).where(F.trim("value_text") != "")
+    # Exploded by itself, a text is cut and a number read once; a filter would do it again for each use.
+    fields = slot_fields()
+    text = F.explode(F.array(fields.pop("value_text"))).alias("value_text")
+    slots = slots.select("*", text).where(F.trim("value_text") != "").withColumns(fields)
     tenths = whole_number("value_text")
     if strict:
         malformed = tenths.isNull() & ~is_blank("value_text")
         tenths = required(tenths, malformed, "malformed slot value")
-    known = slots.withColumn("tenths", tenths).where(F.col("tenths") != MISSING_VALUE)
+    known = slots.select("*", F.explode(F.array(tenths)).alias("tenths")).where(F.col("tenths") != MISSING_VALUE)
     usable = known.where(F.col("qflag").isNull())
     return usable.select(
         "station_id",

@@ -122,3 +122,9 @@ def test_times(spark):
     assert evaluate(spark, raw, dates.second_text(dates.text_to_timestamp("x"))) == ["2024-03-05 06:07:08", None, None]
     assert evaluate(spark, raw, dates.month_bucket(dates.text_to_timestamp("x"))) == [dt.date(2024, 3, 1), None, None]
     assert evaluate(spark, ["2024-02-30", " 2024-02-29"], dates.text_to_date("x")) == [None, dt.date(2024, 2, 29)]
+
+
+def test_strip_takes_blanks_and_other_white_space_alike(spark):
+    texts = [" \t a b\u00a0 \n ", "\t \t", "   ", "", "\r x", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(text.strip("t").alias("s")).collect()
+    assert [r["s"] for r in got] == ["a b\u00a0", "", "", "", "x", None]

@@ -352,3 +352,10 @@ def test_heavy_keys_are_few(spark):
     heavy = {row["key"]: row["_salts"] for row in select.heavy_keys(facts, "key", 20).collect()}
     assert heavy == {0: 193}
     assert select.heavy_keys(facts, "key", 2_000).count() < 2_000 and select.heavy_keys(facts.where("false"), "key").count() == 0
+
+
+def test_a_slot_is_read_once(spark):
+    """The text of a slot is cut, and its number read, in one place of the plan, not once for each use."""
+    plan = decode(spark, line(slots=["  123   "]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1
+    assert [r["value"] for r in decode(spark, line(slots=["\t  12   ", " \t      ", "   1    "])).collect()] == [1.2, 0.1]
